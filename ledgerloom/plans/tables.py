@@ -12,6 +12,7 @@ works on local disk, HDFS or an object store.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 VERSION_PREFIX = "_v"
@@ -39,10 +40,18 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet table at ``path``, or None when nothing was written there yet."""
+    """Parquet table at ``path``, or None when no row was written there yet.
+
+    An append of zero rows leaves a folder without data files; it reads as None too.
+    """
     if not exists(spark, path):
         return None
-    return spark.read.parquet(path)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
