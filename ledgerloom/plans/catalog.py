@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import (
+    STORE_COLUMNS,
     batch_date_of,
     clean_amount,
     file_type_of,
@@ -277,6 +278,52 @@ def q_batch_reconciliation(spark, sf_dir):
     )
 
 
+def write_deliveries(spark: SparkSession, deliveries: dict[str, DataFrame], inbox: str, header: dict[str, bool]) -> str:
+    """Write each delivery as CSV files named ``<prefix>_<n>.csv`` into ``inbox``.
+
+    Spark writes each delivery in parallel (one file per task); the part files are then
+    renamed into the inbox, a metadata-only step.
+    """
+    from ledgerloom.plans import tables
+
+    for prefix, df in deliveries.items():
+        out = f"{inbox}/_write_{prefix}"
+        (
+            df.write.option("header", str(header.get(prefix, False)).lower())
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .option("nullValue", "")
+            .csv(out)
+        )
+        for i, part in enumerate(tables.list_files(spark, out, ".csv")):
+            tables.move(spark, part, f"{inbox}/{prefix}_{i:05d}.csv")
+    return inbox
+
+
+def q_ingest_csv_roundtrip(spark, sf_dir):
+    """Supplier deliveries written as CSV (one with a header, one padded and with NULL
+    tokens), ingested, and read back from bronze."""
+    from ledgerloom.session import scratch_path
+    from ledgerloom.sources import csv_inbox
+
+    sup = read_table(spark, sf_dir, "supplier")
+    v1 = adapters.raw_stores(sup, (1,)).select(*STORE_COLUMNS)
+    v2 = adapters.raw_stores(sup, (2,)).select(
+        F.concat(F.lit(" "), "store_group").alias("store_group"),
+        "store_token",
+        F.coalesce(F.concat(F.lit("  "), "store_name", F.lit(" ")), F.lit("NULL")).alias("store_name"),
+    )
+    root = scratch_path(spark, "csv-roundtrip")
+    inbox = write_deliveries(
+        spark,
+        {f"stores_{adapters.STORES_V1_DATE:%Y%m%d}": v1, f"stores_{adapters.STORES_V2_DATE:%Y%m%d}": v2},
+        f"{root}/inbox",
+        {f"stores_{adapters.STORES_V1_DATE:%Y%m%d}": True},
+    )
+    csv_inbox.ingest(spark, inbox, f"{root}/bronze", run_ts=RUN_LOG_TS)
+    return spark.read.parquet(f"{root}/bronze/stores_raw").select(*STORE_COLUMNS, "batch_date")
+
+
 QUERIES: dict[str, Query] = {
     "amount_clean": q_amount_clean,
     "timestamp_parse": q_timestamp_parse,
@@ -305,4 +352,5 @@ QUERIES: dict[str, Query] = {
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
     "batch_reconciliation": q_batch_reconciliation,
+    "ingest_csv_roundtrip": q_ingest_csv_roundtrip,
 }

@@ -386,6 +386,8 @@ UNION ALL
 {_unique_sql('dim_store', 'dim', checks.UNIQUE['dim_store'])}
 UNION ALL
 {_unique_sql('sales_valid', 'valid', ('store_token', 'transaction_id'))}""",
+    "ingest_csv_roundtrip": f"""WITH {RAW_STORES}
+SELECT store_group, store_token, store_name, batch_date FROM raw_stores""",
     "batch_reconciliation": f"""{SALES_FACT},
 pb AS (
   SELECT batch_date, count(*) AS raw_rows,

@@ -39,6 +39,19 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"could not move {src} to {dst}")
 
 
+def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
+    """Data files directly inside ``folder`` (no hidden or marker files)."""
+    fs, p, _ = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")) and name.endswith(suffix):
+            out.append(st.getPath().toString())
+    return sorted(out)
+
+
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """Parquet table at ``path``, or None when no row was written there yet.
 

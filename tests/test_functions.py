@@ -1,0 +1,90 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.columns import (
+    batch_date_of,
+    clean_amount,
+    file_type_of,
+    half_up_avg,
+    null_if_token,
+    parse_transaction_time,
+    reject_reason,
+    surrogate_key,
+)
+
+
+def one(spark, expr, value, ddl="v string"):
+    return spark.createDataFrame([(value,)], ddl).select(expr.alias("r")).first().r
+
+
+def test_clean_amount(spark):
+    cases = {
+        "$494.02": Decimal("494.02"), "12.30": Decimal("12.30"), "$$5": Decimal("5.00"),
+        "7.005": Decimal("7.01"), "-7.005": Decimal("-7.01"), "1e2": Decimal("100.00"),
+        " 3.5 ": Decimal("3.50"), "NOT_MONEY": None, "1,234.56": None, "123456789012": None, None: None,
+    }
+    for raw, want in cases.items():
+        assert one(spark, clean_amount("v"), raw) == want, raw
+
+
+def test_parse_transaction_time(spark):
+    cases = {
+        "20241001T130832.000": dt.datetime(2024, 10, 1, 13, 8, 32),
+        "20241001T130832.5": dt.datetime(2024, 10, 1, 13, 8, 32, 500000),
+        "2024-10-01T13:08:32": dt.datetime(2024, 10, 1, 13, 8, 32),
+        "2024-10-01 13:08:32": dt.datetime(2024, 10, 1, 13, 8, 32),
+        "2024-10-01": dt.datetime(2024, 10, 1),
+        "20241301T130832.000": None, "NOT_A_TIMESTAMP": None, "2024": None, "1700000000": None, None: None,
+    }
+    for raw, want in cases.items():
+        assert one(spark, parse_transaction_time("v"), raw) == want, raw
+
+
+def test_null_tokens(spark):
+    for raw, want in {"": None, "NULL": None, "null": None, "  ": None, " NULL ": None,
+                      "Null": "Null", " a ": "a", None: None}.items():
+        assert one(spark, null_if_token("v"), raw) == want, raw
+
+
+def test_file_name_rules(spark):
+    assert one(spark, file_type_of("v"), "stores_20241001.csv") == "stores"
+    assert one(spark, file_type_of("v"), "sales_20241001.csv") == "sales"
+    assert one(spark, file_type_of("v"), "Sales_20241001.csv") is None
+    assert one(spark, batch_date_of("v"), "sales_20241119_2.csv") == dt.date(2024, 11, 19)
+    assert one(spark, batch_date_of("v"), "sales_v20241119x.csv") == dt.date(2024, 11, 19)
+    assert one(spark, batch_date_of("v"), "sales_nodate.csv") is None
+    assert one(spark, batch_date_of("v"), "sales_20241399.csv") is None
+
+
+def test_reject_reason_order_and_bounds(spark):
+    rows = [
+        (None, None, None, None, None),
+        ("s", None, None, None, None),
+        ("s", "t", None, None, None),
+        ("s", "t", "abcde", None, None),
+        ("s", "t", "abcde", dt.datetime(2024, 1, 1), None),
+        ("s", "t", "abcd", dt.datetime(2024, 1, 1), Decimal("1.00")),
+        ("s", "t", "a" * 31, dt.datetime(2024, 1, 1), Decimal("1.00")),
+        ("s", "t", "abcde", dt.datetime(2024, 1, 1), Decimal("1.00")),
+        ("s", "t", "a" * 30, dt.datetime(2024, 1, 1), Decimal("1.00")),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d timestamp_ntz, e decimal(11,2)")
+    got = [r.r for r in df.select(reject_reason("a", "b", "c", "d", "e").alias("r")).collect()]
+    assert got == ["NULL_STORE_TOKEN", "NULL_TRANSACTION_ID", "NULL_RECEIPT_TOKEN", "INVALID_TIMESTAMP",
+                   "INVALID_AMOUNT", "INVALID_RECEIPT_TOKEN_LENGTH", "INVALID_RECEIPT_TOKEN_LENGTH", None, None]
+
+
+def test_surrogate_key_formats_milliseconds(spark):
+    import hashlib
+
+    got = one(spark, surrogate_key(F.lit("tok"), "v"), dt.datetime(2024, 1, 1), "v timestamp_ntz")
+    assert got == hashlib.md5(b"tok|2024-01-01 00:00:00.000").hexdigest()
+
+
+def test_half_up_average(spark):
+    df = spark.createDataFrame([(5, 2), (-5, 2), (1, 3), (2, 3), (10, 4), (-10, 4)], "s long, n long")
+    got = [r.r for r in df.select(half_up_avg("s", "n").alias("r")).collect()]
+    assert got == [Decimal("0.03"), Decimal("-0.03"), Decimal("0.00"), Decimal("0.01"), Decimal("0.03"),
+                   Decimal("-0.03")]

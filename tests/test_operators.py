@@ -1,0 +1,130 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import checks, merge, quality, reports
+from ledgerloom.operators.dedup import last_n_values, latest_wins, top_k_per_group
+
+TS = dt.datetime
+
+
+def sales(spark, rows):
+    return spark.createDataFrame(rows, "store_token string, transaction_id string, receipt_token string, "
+                                       "transaction_time timestamp_ntz, amount decimal(11,2), user_role string, "
+                                       "batch_date date, file_name string, load_ts timestamp_ntz")
+
+
+def test_upsert_semantics(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    updates = spark.createDataFrame([("b", 20), ("c", 30), ("c", 31), (None, 40)], "k string, v int")
+    got = sorted(merge.upsert(target, updates, ["k"]).collect(), key=repr)
+    # b replaced, c inserted twice (no match), NULL keys never match
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [("a", 1), ("b", 20), ("c", 30), ("c", 31), (None, 3), (None, 40)], key=repr)
+    # same answer on the shuffle path
+    got2 = merge.upsert(target, updates, ["k"], broadcast_max_rows=0).collect()
+    assert sorted(map(tuple, got2), key=repr) == sorted(map(tuple, got), key=repr)
+
+
+def test_latest_wins_prefers_arrival_over_event_time(spark):
+    df = sales(spark, [
+        ("s", "t", "RCPT1", TS(2024, 1, 5), Decimal("1.00"), "r", dt.date(2024, 1, 5), "sales_20240105.csv",
+         TS(2024, 1, 6)),
+        ("s", "t", "RCPT1", TS(2024, 1, 1), Decimal("2.00"), "r", dt.date(2024, 1, 1), "sales_20240101.csv",
+         TS(2024, 1, 7)),  # an old batch delivered late still wins
+    ])
+    got = merge.dedup_sales(df).collect()
+    assert len(got) == 1 and got[0].amount == Decimal("2.00")
+
+
+def test_latest_wins_skewed_key(spark):
+    # one key holds most rows: partial WindowGroupLimit keeps one row per task pre-shuffle
+    hot = spark.range(0, 200_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    cold = spark.range(0, 1000).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("k"),
+                                        F.col("id").alias("v"))
+    df = hot.unionByName(cold).repartition(16)
+    out = latest_wins(df, ["k"], [F.col("v").desc()])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert out.count() == 1001
+    assert out.where("k = 'hot'").first().v == 199_999
+
+
+def test_last_n_and_top_k(spark):
+    df = spark.createDataFrame([(d, s, v) for d in range(1, 6) for s, v in (("a", 3), ("b", 3), ("c", 1))],
+                               "d int, s string, v int")
+    assert [r.d for r in last_n_values(df, "d", 2).collect()] == [5, 4]
+    top = top_k_per_group(df, ["d"], [F.col("v").desc(), F.col("s").asc()], 2, "rank")
+    assert top.count() == 10
+    assert sorted({(r.s, r.rank) for r in top.collect()}) == [("a", 1), ("b", 2)]
+
+
+def test_split_quality_complements(spark):
+    raw = spark.createDataFrame(
+        [("s", "t1", "RCPT1", "20240101T000000.000", "$1.00", "r", dt.date(2024, 1, 1), "f", TS(2024, 1, 2)),
+         ("s", "t2", "AB", "20240101T000000.000", "$1.00", "r", dt.date(2024, 1, 1), "f", TS(2024, 1, 2)),
+         ("s", "t3", "RCPT3", "junk", "$1.00", "r", dt.date(2024, 1, 1), "f", TS(2024, 1, 2))],
+        "store_token string, transaction_id string, receipt_token string, transaction_time string, amount string, "
+        "user_role string, batch_date date, file_name string, load_ts timestamp_ntz")
+    valid, rejected = quality.split_quality(raw)
+    assert valid.count() == 1 and rejected.count() == 2
+    r = {x.transaction_id: x for x in rejected.collect()}
+    assert r["t3"].transaction_time_raw == "junk" and r["t2"].reject_reason == "INVALID_RECEIPT_TOKEN_LENGTH"
+
+
+def test_scd2_a_b_a_compacts_to_same(spark):
+    def stores(rows):
+        return spark.createDataFrame(rows, "store_group string, store_token string, store_name string, "
+                                           "batch_date date, load_ts timestamp_ntz")
+    v1 = stores([("G1", "s", "A", dt.date(2024, 1, 1), TS(2024, 1, 1))])
+    dim = merge.scd2_initial(v1)
+    # B then back to A before the next run: only the latest version is seen -> SAME
+    later = v1.unionByName(stores([("G1", "s", "B", dt.date(2024, 1, 2), TS(2024, 1, 2)),
+                                   ("G1", "s", "A", dt.date(2024, 1, 3), TS(2024, 1, 3))]))
+    assert [r.change_status for r in merge.scd2_changes(dim, later).collect()] == ["SAME"]
+    assert merge.scd2_apply(dim, later).count() == 1
+    # a real change closes the old row and opens a new one carrying first_seen_ts
+    changed = v1.unionByName(stores([("G2", "s", "A", dt.date(2024, 1, 4), TS(2024, 1, 4))]))
+    out = {r.is_current: r for r in merge.scd2_apply(dim, changed).collect()}
+    assert out[False].valid_to == TS(2024, 1, 4) and out[False].last_load_ts == TS(2024, 1, 4)
+    assert out[True].valid_from == TS(2024, 1, 4) and out[True].first_seen_ts == TS(2024, 1, 1)
+    assert out[True].valid_to is None
+
+
+def test_reports_ties_and_month_boundary(spark):
+    rows = [
+        ("s2", "t1", "RCPT1", TS(2024, 1, 31, 10), Decimal("5.00")),
+        ("s1", "t2", "RCPT1", TS(2024, 1, 31, 11), Decimal("5.00")),  # tie: smaller token wins
+        ("s1", "t3", "RCPT1", TS(2024, 2, 1, 9), Decimal("1.00")),
+        ("s3", "t4", "RCPT1", TS(2024, 2, 2, 9), Decimal("2.00")),
+    ]
+    fact = spark.createDataFrame(
+        [(a, b, c, d, e, "r", d.date(), d) for a, b, c, d, e in rows],
+        "store_token string, transaction_id string, receipt_token string, transaction_time timestamp_ntz, "
+        "amount decimal(11,2), user_role string, batch_date date, last_load_ts timestamp_ntz")
+    daily = {r.transaction_date: r for r in reports.report_daily(fact, n=2, snapshot_date=dt.date(2024, 3, 1))
+             .collect()}
+    assert set(daily) == {dt.date(2024, 2, 1), dt.date(2024, 2, 2)}
+    assert daily[dt.date(2024, 2, 2)].month_accumulated_sales == Decimal("3.00")  # month resets
+    full = {r.transaction_date: r for r in reports.report_daily(fact, n=40).collect()}
+    assert full[dt.date(2024, 1, 31)].top_store_token == "s1"
+    assert full[dt.date(2024, 1, 31)].stores_with_tx == 2
+    assert full[dt.date(2024, 1, 31)].total_sales_avg == Decimal("5.00")
+    dim = merge.scd2_initial(spark.createDataFrame(
+        [("G", "s1", "One", dt.date(2024, 1, 1), TS(2024, 1, 1))],
+        "store_group string, store_token string, store_name string, batch_date date, load_ts timestamp_ntz"))
+    topk = reports.report_topk(fact, dim, n=1, k=5).collect()
+    assert [(r.store_token, r.store_name, r.top_rank_id) for r in topk] == [("s3", None, 1)]  # unknown store
+
+
+def test_checks(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 2)], "k string, v int")
+    res = {(r.check_name, r.column_name): r.failures for r in checks.run_checks({"fact_sales": df.select(
+        F.col("k").alias("store_token"), F.col("k").alias("transaction_id"), F.col("v").alias("amount"),
+        F.col("v").alias("transaction_time"))}).collect()}
+    assert res[("not_null", "amount")] == 1 and res[("unique", "store_token,transaction_id")] == 1
+    import pytest
+
+    with pytest.raises(checks.CheckFailed):
+        checks.assert_unique(df, "t", ["k"])
