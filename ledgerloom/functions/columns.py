@@ -73,10 +73,11 @@ def clean_amount(c: Column | str) -> Column:
 def parse_transaction_time(c: Column | str) -> Column:
     """Wall-clock timestamp from an ISO-like string, else from the compact format.
 
-    A bare digit run (``2024``, an epoch) is not accepted: Spark would read a lone
-    year as a date, which no feed means.
+    Input is a bronze field, trimmed at ingestion (the cast trims as well). A bare digit
+    run (``2024``, an epoch) is not accepted: Spark would read a lone year as a date,
+    which no feed means.
     """
-    raw = F.trim(col_of(c))
+    raw = col_of(c)
     iso = raw.try_cast("timestamp_ntz")
     compact = F.try_to_timestamp(raw, F.lit(COMPACT_TS_FORMAT)).cast("timestamp_ntz")
     return F.when(~raw.rlike(r"^[0-9]+$"), F.coalesce(iso, compact))

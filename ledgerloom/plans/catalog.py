@@ -278,16 +278,24 @@ def q_batch_reconciliation(spark, sf_dir):
     )
 
 
-def write_deliveries(spark: SparkSession, deliveries: dict[str, DataFrame], inbox: str, header: dict[str, bool]) -> str:
+def write_deliveries(
+    spark: SparkSession,
+    deliveries: dict[str, DataFrame],
+    inbox: str,
+    header: dict[str, bool],
+    files: int | None = None,
+) -> str:
     """Write each delivery as CSV files named ``<prefix>_<n>.csv`` into ``inbox``.
 
-    Spark writes each delivery in parallel (one file per task); the part files are then
-    renamed into the inbox, a metadata-only step.
+    Spark writes each delivery in parallel (one file per task, ``files`` tasks when
+    given); the part files are then renamed into the inbox, a metadata-only step.
     """
     from ledgerloom.plans import tables
 
     for prefix, df in deliveries.items():
         out = f"{inbox}/_write_{prefix}"
+        if files:
+            df = df.repartition(files)
         (
             df.write.option("header", str(header.get(prefix, False)).lower())
             .option("ignoreLeadingWhiteSpace", "false")

@@ -53,9 +53,9 @@ RAW = """raw AS (
 
 PARSED = """parsed AS (
   SELECT *,
-    CASE WHEN regexp_matches(trim(transaction_time), '^[0-9]+$') THEN NULL
-         ELSE coalesce(try_cast(trim(transaction_time) AS TIMESTAMP),
-                       try_strptime(trim(transaction_time), '%Y%m%dT%H%M%S.%g')) END AS parsed_time,
+    CASE WHEN regexp_matches(transaction_time, '^[0-9]+$') THEN NULL
+         ELSE coalesce(try_cast(transaction_time AS TIMESTAMP),
+                       try_strptime(transaction_time, '%Y%m%dT%H%M%S.%g')) END AS parsed_time,
     try_cast(replace(amount, '$', '') AS DECIMAL(11,2)) AS parsed_amount
   FROM raw
 ),

@@ -98,15 +98,26 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
             if name.startswith(VERSION_PREFIX) and name[len(VERSION_PREFIX):].isdigit():
                 highest = max(highest, int(name[len(VERSION_PREFIX):]))
     path = f"{root.rstrip('/')}/{VERSION_PREFIX}{highest + 1:06d}"
-    w = df.write.mode("errorifexists")
+    w = for_partitioned_write(df, partition_by).write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
+def for_partitioned_write(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Group rows by output partition before a partitioned write.
+
+    Without it every task writes a file into every partition it meets (tasks x dates
+    small files). ``rebalance`` is sized at run time by AQE: small partitions are
+    merged into one file, a partition holding a third of all rows is split over many
+    tasks, so no single task writes a hot date alone.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("append")
+    w = for_partitioned_write(df, partition_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

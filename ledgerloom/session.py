@@ -25,6 +25,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "16g"))
+        # One JVM: listing a date-partitioned table through a distributed job (one task
+        # per folder) costs seconds; on a cluster the default (32) stays in force.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+        # Small inputs: split files at 32 MB so a single mid-sized file still uses all cores.
+        .config("spark.sql.files.maxPartitionBytes", os.environ.get("LEDGERLOOM_MAX_PARTITION_BYTES", "32m"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
