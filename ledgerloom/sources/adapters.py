@@ -47,8 +47,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     left as it is.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 < cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return df
+    if splits * 2 < cores:
         df = df.repartition(cores)
     return df
 
