@@ -39,6 +39,13 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"could not move {src} to {dst}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder (e.g. one table partition) if it exists."""
+    fs, p, _ = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
     """Data files directly inside ``folder`` (no hidden or marker files)."""
     fs, p, _ = _fs(spark, folder)

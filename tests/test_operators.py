@@ -128,3 +128,17 @@ def test_checks(spark):
 
     with pytest.raises(checks.CheckFailed):
         checks.assert_unique(df, "t", ["k"])
+
+
+def test_single_pass_checks_match_separate_ones(spark):
+    rows = [("a", "1", 1), ("a", "1", None), (None, "2", 2), (None, "2", 3), ("b", None, None), ("c", "3", 4)]
+    df = spark.createDataFrame(rows, "store_token string, transaction_id string, amount int")
+    df = df.withColumn("transaction_time", F.col("amount"))
+    cols = ("store_token", "transaction_id", "amount", "transaction_time")
+    one = {(r.check_name, r.column_name): r.failures
+           for r in checks.table_failures(df, "fact_sales", cols, ("store_token", "transaction_id")).collect()}
+    sep = {(r.check_name, r.column_name): r.failures
+           for r in checks.not_null_failures(df, "fact_sales", cols).unionByName(
+               checks.unique_failures(df, "fact_sales", ("store_token", "transaction_id"))).collect()}
+    assert one == sep
+    assert one[("not_null", "store_token")] == 2 and one[("unique", "store_token,transaction_id")] == 2
