@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.functions.columns import ntz_lit
 from ledgerloom.plans import tables
 from ledgerloom.sources import csv_inbox
 
@@ -52,8 +51,7 @@ def _load_batch(bronze_root: str):
             c = csv_inbox.load_feed(feed_lines, todo.where(F.col("file_type") == feed), feed, bronze_root)
             counts = c if counts is None else counts.unionByName(c)
         if counts is not None:
-            new_log = csv_inbox.append_log(log, counts, run_ts).where(F.col("loaded_at") == ntz_lit(run_ts))
-            new_log.write.mode("append").parquet(log_path)
+            csv_inbox.write_log_rows(log, counts, m, run_ts, log_path)
 
     return load
 
