@@ -25,6 +25,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "16g"))
+        # Whole-stage generated methods of the wide parse projections exceed the JVM's
+        # 8000-byte JIT limit and would stay interpreted; on a cluster set the same flag
+        # in spark.executor.extraJavaOptions.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         # One JVM: listing a date-partitioned table through a distributed job (one task
         # per folder) costs seconds; on a cluster the default (32) stays in force.
         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,9 +43,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     Parquet cannot split inside a row group, so a file written as one row group is
     one task however large it is. When the scan has fewer than half as many splits
-    as the session has cores, the rows are dealt round-robin over all cores before
-    the CPU-heavy projections; a real 100 TB source has thousands of splits and is
-    left as it is.
+    as the session has cores (a source of at most a few row groups, so small), the rows
+    are dealt round-robin over all cores before the CPU-heavy projections; a real
+    100 TB source has thousands of splits and is left as it is.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     try:
@@ -53,7 +54,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     except Exception:  # sessions without a local SparkContext (Spark Connect)
         return df
     if splits * 2 < cores:
-        df = df.repartition(cores)
+        # Kept (memory, then disk): without this barrier Catalyst pushes the parse
+        # filters below the round-robin exchange, back into the single scan task. The
+        # cache manager matches the plan, so later queries reuse the spread copy; a
+        # lost block is recomputed from the file (round-robin is sorted first, hence
+        # deterministic).
+        df = df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
     return df
 
 
