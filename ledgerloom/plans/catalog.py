@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import (
     STORE_COLUMNS,
     batch_date_of,
+    cents_to_total,
     clean_amount,
     file_type_of,
     null_if_token,
@@ -192,8 +193,6 @@ def q_report_daily(spark, sf_dir):
 
 def q_mtd_running_total(spark, sf_dir):
     daily = reports.month_to_date(reports.daily_metrics(reports.daily_store_totals(_fact(spark, sf_dir))))
-    from ledgerloom.functions.columns import cents_to_total
-
     return daily.select("transaction_date", cents_to_total("day_cents").alias("total_sales_amount"),
                         cents_to_total("mtd_cents").alias("month_accumulated_sales"))
 
