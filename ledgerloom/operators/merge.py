@@ -34,8 +34,14 @@ DIM_COLUMNS = (
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size proof by bounded work: each task stops after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Size proof for a broadcast: an exact row count.
+
+    ``count()`` is a partial aggregation (one number per task), unlike
+    ``limit(n).count()``, which funnels up to n rows of every task through a single
+    partition. Callers check sets they persist anyway (a day's updates), so the count
+    also fills the cache the join then reads.
+    """
+    return df.count() <= max_rows
 
 
 def upsert(
