@@ -142,3 +142,29 @@ def test_single_pass_checks_match_separate_ones(spark):
                checks.unique_failures(df, "fact_sales", ("store_token", "transaction_id"))).collect()}
     assert one == sep
     assert one[("not_null", "store_token")] == 2 and one[("unique", "store_token,transaction_id")] == 2
+
+
+def test_reports_with_a_hot_store_and_day(spark):
+    # one store on one day holds a third of all rows: aggregation is partial, so the
+    # per-day windows see one row per (day, store), and results stay exact
+    n = 60_000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string")))
+        .alias("store_token"),
+        F.col("id").cast("string").alias("transaction_id"),
+        F.lit("RCPT01").alias("receipt_token"),
+        F.when(F.col("id") % 3 == 0, F.lit(dt.datetime(2024, 1, 10, 12)))
+        .otherwise(F.make_timestamp_ntz(F.lit(2024), F.lit(1), (F.col("id") % 28 + 1).cast("int"), F.lit(9), F.lit(0),
+                                        F.lit(0)))
+        .alias("transaction_time"),
+        (F.lit(1.25)).cast("decimal(11,2)").alias("amount"),
+        F.lit("r").alias("user_role"),
+        F.lit(dt.date(2024, 1, 1)).alias("batch_date"),
+        F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz").alias("last_load_ts"),
+    )
+    daily = {r.transaction_date: r for r in reports.report_daily(base, n=40).collect()}
+    hot_day = daily[dt.date(2024, 1, 10)]
+    assert hot_day.top_store_token == "hot"
+    expected_rows = base.where(F.col("transaction_time").cast("date") == dt.date(2024, 1, 10)).count()
+    assert hot_day.total_sales_amount == Decimal("1.25") * expected_rows
+    assert sum(r.total_sales_amount for r in daily.values()) == Decimal("1.25") * n
