@@ -149,8 +149,16 @@ def q_fact_dedup(spark, sf_dir):
     return _fact(spark, sf_dir)
 
 
+def _stored_fact_batch1(spark, sf_dir):
+    """The first delivery's fact, written once (as the daily run would have stored it)."""
+    from ledgerloom.session import shared_dir
+
+    shared_dir(spark)
+    return _fact_batch1(spark, sf_dir).checkpoint(eager=True)
+
+
 def q_fact_merge_two_batches(spark, sf_dir):
-    return merge.build_fact(_valid(spark, sf_dir), _fact_batch1(spark, sf_dir))
+    return merge.build_fact(_valid(spark, sf_dir), _stored_fact_batch1(spark, sf_dir))
 
 
 def q_high_water_slice(spark, sf_dir):
