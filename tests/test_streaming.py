@@ -1,6 +1,6 @@
 import os
 
-from fixtures import EDGE_FILES, write_inbox
+from fixtures import write_inbox
 from ledgerloom.streaming.inbox_stream import start_inbox_stream
 
 
