@@ -34,6 +34,7 @@ def _load_batch(bronze_root: str):
             return
         log_path = f"{bronze_root}/ingestion_log"
         log = tables.read_or_none(spark, log_path)
+        csv_inbox.discard_unlogged(spark, bronze_root, log)
         run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         newest = csv_inbox._newest_load_ts(spark, bronze_root)
         if newest is not None and run_ts <= newest:
