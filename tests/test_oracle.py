@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry_mod
 from compare import compare, duck
 from conftest import SF001
+from ledgerloom.plans.catalog import QUERIES as OWN
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+QUERIES = {k: v for k, v in entry_mod.queries().items() if k in OWN}
+SQL = {k: v for k, v in entry_mod.oracle_sql().items() if k in OWN}
 
 
 @pytest.fixture(scope="module")
