@@ -6,16 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import chat, decontam, mixing, simhash
 from ledgerloom.llm.shared import table
 
 
+def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.positions(mixing.plan(table(spark, sf_dir, "documents")))
+    return planned.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_probe(spark, table(spark, sf_dir, "conversations"))
+    return chat.digest(chat.format_conversations(rows))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_curriculum_mix": op3_curriculum_mix,
+    "op4_chat_format": op4_chat_format,
+    "op7_decontaminate": op7_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_curriculum_mix": mixing.ORACLE,
+    "op4_chat_format": chat.ORACLE,
+}
