@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, decontam, mixing, simhash
+from ledgerloom.llm import chat, decontam, mixing, pii, simhash
 from ledgerloom.llm.shared import table
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.positions(mixing.plan(table(spark, sf_dir, "documents")))
     return planned.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -29,6 +34,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_chat_format": op4_chat_format,
     "op7_decontaminate": op7_decontaminate,
