@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, decontam, mixing, pii, simhash
+from ledgerloom.llm import chat, decontam, mixing, pii, simhash, toxicity
 from ledgerloom.llm.shared import table
 
 
@@ -29,6 +29,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_chat_format": op4_chat_format,
     "op7_decontaminate": op7_decontaminate,
+    "op8_toxicity": op8_toxicity,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
 

@@ -65,9 +65,10 @@ class Block:
     offsets: np.ndarray
 
 
-def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES, gap: np.ndarray = SPACE) -> Iterator[Block]:
+def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES, gap: np.ndarray = SPACE, overlap: int = 0) -> Iterator[Block]:
     """The column's texts in blocks of about ``limit`` bytes; a longer text comes in several
-    blocks, cut where a ``gap`` byte is, so that no word is cut. Nulls count as empty."""
+    blocks, cut where a ``gap`` byte is, so that no word is cut, each with up to ``overlap``
+    bytes of the one before. Nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "")
@@ -94,7 +95,9 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES, gap: np.ndarray = SP
                         break
                     cut = min(cut + limit, stop)
                 yield Block(np.array([i]), data[at:cut], np.array([0, cut - at]))
-                at = cut
+                back = max(at + 1, cut - overlap) if overlap and cut < stop else cut
+                gaps = np.flatnonzero(gap[data[back:cut]])
+                at = back + int(gaps[0]) if len(gaps) else cut
         i = j
 
 
