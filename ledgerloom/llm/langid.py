@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import Block, mix, text_blocks
+from ledgerloom.llm.shared import Block, mix, restored, text_blocks
 
 SLOTS = 1 << 15
 GRAM = 4
@@ -179,10 +179,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     nothing was learned. ``proportions`` maps the selected languages to theirs. A null doc_id is
     not held out. Repeated rows give repeated rows; other columns are ignored; no row gives none.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS floats per language
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # SLOTS floats per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = restored(Model, sent.value)
         for b in batches:
             share = np.zeros((b.num_rows, model.logs.shape[1]))
             pending: list[tuple[np.ndarray, np.ndarray]] = []

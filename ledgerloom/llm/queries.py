@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, decontam, langid, mixing, pii, simhash, toxicity
+from ledgerloom.llm import chat, decontam, langid, licences, mixing, pii, quality, simhash, toxicity
 from ledgerloom.llm.shared import table
 
 
@@ -25,6 +25,18 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rated = table(spark, sf_dir, "labels").select("doc_id", quality.rating().alias("grade"))
+    found = quality.classify(docs, quality.fit(docs, rated))
+    tails = [found.tails[k].alias(f"p_at_least_{k + 1}") for k in range(2)]
+    return found.select("doc_id", "expected_grade", *tails, "selected")
+
+
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_chat_format": op4_chat_format,
+    "op5_quality": op5_quality,
+    "op6_licence_scan": op6_licence_scan,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_simhash_dedup": op9_simhash_dedup,
@@ -56,4 +70,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_curriculum_mix": mixing.ORACLE,
     "op4_chat_format": chat.ORACLE,
+    "op6_licence_scan": licences.oracle(),
 }

@@ -162,3 +162,11 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
         out *= np.uint64(0xD6E8FEB86659FD93)
         out += words[k : k + m]
     return mix(out)
+
+
+def restored(cls: type, state: dict):
+    """An object of ``cls`` with the given attributes. Broadcasts carry attributes (arrays and
+    numbers) alone, as an executor may know no class of this library."""
+    out = cls.__new__(cls)
+    out.__dict__.update(state)
+    return out

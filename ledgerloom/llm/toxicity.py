@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import LOWER, Block, mix, span_hashes, text_blocks, word_bounds
+from ledgerloom.llm.shared import LOWER, Block, mix, restored, span_hashes, text_blocks, word_bounds
 
 WINDOW, STEP = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -331,6 +331,15 @@ def fit(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS, chars: int
     return model
 
 
+def _sent(docs: DataFrame, model: Model | float):
+    """The model to all executors: about 6 MB."""
+    return docs.sparkSession.sparkContext.broadcast({"constant": model} if isinstance(model, float) else vars(model))
+
+
+def _scores(sent: dict, text: pa.Array) -> np.ndarray:
+    return np.full(len(text), sent["constant"]) if "constant" in sent else restored(Model, sent).score(text)
+
+
 def score(docs: DataFrame, model: Model | float, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every row of ``docs(doc_id, text, ...)``.
 
@@ -338,12 +347,11 @@ def score(docs: DataFrame, model: Model | float, threshold: float = THRESHOLD) -
     constant, if the model is one). A null doc_id is not held out. Repeated rows give repeated
     rows, other columns are ignored, no row gives no row.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # about 6 MB
+    sent = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scorer = sent.value
-            scores = np.full(b.num_rows, scorer) if isinstance(scorer, float) else scorer.score(b.column(2))
+            scores = _scores(sent.value, b.column(2))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(scores.astype(float)), pa.array((scores >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -355,13 +363,11 @@ def score(docs: DataFrame, model: Model | float, threshold: float = THRESHOLD) -
 
 def drop_toxic(docs: DataFrame, model: Model | float, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scorer = sent.value
-            text = b.column(b.schema.get_field_index("text"))
-            scores = np.full(b.num_rows, scorer) if isinstance(scorer, float) else scorer.score(text)
+            scores = _scores(sent.value, b.column(b.schema.get_field_index("text")))
             yield b.filter(pa.array(scores < threshold))
 
     return docs.mapInArrow(run, docs.schema)
