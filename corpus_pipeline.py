@@ -1,18 +1,54 @@
-"""Documents to a training mix: toxicity, near-duplicates, benchmark leaks, personal data, mixing."""
+"""Documents to a training sequence: toxicity, near-duplicates, benchmark leaks, personal data, mixing.
+
+Each stage is an operator of ``ledgerloom.llm`` over all that its predecessor kept; all but the
+last return the columns of documents. Between stages the rows are written to the shared folder,
+so a lost executor repeats part of one stage at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import decontam, mixing, pii, simhash, toxicity
+from ledgerloom.llm.shared import materialise, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.deduplicate(docs, shingle=3, distance=2)
 
 
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("simhash_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
+    ("pii", redact_personal_data),
+    ("mixing", mix_sources),
 ]
 
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+#: The trained network and the fingerprints have no SQL; tests/llm holds the stages against
+#: brute-force versions.
 ORACLE_SQL = None

@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontam, langid, licences, mixing, pii, quality, simhash, toxicity
+from ledgerloom.llm import chat, decontam, langid, licences, mixing, neighbours, pii, quality, simhash, toxicity
 from ledgerloom.llm.shared import table
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return neighbours.nearest(rows, F.col("vec_id") % 20 == 0, top=20)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
@@ -56,6 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_pii": op2_pii,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_chat_format": op4_chat_format,

@@ -56,6 +56,12 @@ def text_hash(col: str = "text"):
     return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
 
 
+def row_key(doc_id, content):
+    """One string for an id (null as empty) and a hash of the text: a single key shuffles once
+    for a join and a grouping that follows it."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), content.cast("string"))
+
+
 @dataclass
 class Block:
     """Texts or pieces of one text: ``rows[i]`` is the row of piece i in the batch."""

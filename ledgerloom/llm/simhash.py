@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import connected_components
-from ledgerloom.llm.shared import LOWER_TABLE, materialise, text_hash
+from ledgerloom.llm.shared import LOWER_TABLE, materialise, row_key, text_hash
 
 SEED = 42
 BITS = 64
@@ -299,7 +299,6 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFra
     that id the smallest text hash, and one of equal rows."""
     rows = group(docs, shingle, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    keep = rows.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_keep_id"), F.col("first.text_hash").alias("_keep_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col("_hash") == F.col("_keep_hash"))
-    kept = docs.withColumn("_hash", text_hash()).join(keep, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    keep = rows.groupBy("root").agg(first).select(row_key(F.col("first.doc_id"), F.col("first.text_hash")).alias("_row")).distinct()
+    kept = docs.withColumn("_row", row_key(F.col("doc_id").cast("long"), text_hash())).join(keep, "_row", "left_semi")
+    return kept.dropDuplicates(["_row"]).select(*docs.columns)
