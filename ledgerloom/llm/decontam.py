@@ -48,11 +48,6 @@ def lengths(most: int) -> list[int]:
     return out
 
 
-def _features(words: np.ndarray) -> np.ndarray:
-    """Feature i belongs to words i and i + 1; the last word of all stands alone."""
-    return np.append(ngram_hashes(words, 2), words[-1:])
-
-
 def _prefix_sums(features: np.ndarray) -> np.ndarray:
     """Row i: for each bit, set minus unset among the first i features, modulo 2^16."""
     bits = np.unpackbits(features.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.int8)
@@ -90,8 +85,8 @@ class Index:
 
     @staticmethod
     def one(words: np.ndarray) -> np.ndarray:
-        features = _features(words)[: max(1, len(words) - 1)]
-        return _fingerprints(_prefix_sums(features)[-1:])
+        """The fingerprint of a text's word pairs; a single word's is its hash."""
+        return _fingerprints(_prefix_sums(ngram_hashes(words, 2))[-1:]) if len(words) > 1 else words
 
     def shingles(self, words: np.ndarray, length: int) -> np.ndarray:
         """Of a text that is ``length`` words long or longer."""
@@ -108,10 +103,9 @@ class Index:
         n = len(words)
         if not n or not self.items:
             return found
-        sums = _prefix_sums(_features(words))
+        sums = _prefix_sums(ngram_hashes(words, 2))
         for size, own, prints, tables in self.classes:
             step = max(1, size // 8)
-            wide = max(size - 1, 1)
             # windows may reach into the next text: the check stays within one
             starts = np.arange(0, max(1, n - size + 1), step)
             if starts[-1] + size < n:
@@ -120,7 +114,7 @@ class Index:
             starts = np.unique(np.clip(starts, 0, None))
             for lo in range(0, len(starts), 1 << 15):
                 at = starts[lo : lo + (1 << 15)]
-                fp = _fingerprints(sums[np.minimum(at + wide, n)] - sums[at])
+                fp = _fingerprints(sums[np.minimum(at + size, n) - 1] - sums[at]) if size > 1 else words[at]
                 sets = tables[0][fp & np.uint64(0xFFFF)]
                 for b in range(1, BLOCKS):
                     sets = sets | tables[b][fp >> np.uint64(BLOCK_BITS * b) & np.uint64(0xFFFF)]

@@ -1,0 +1,115 @@
+import hashlib
+import random
+import re
+import time
+
+from helpers import clashing, edge_docs, empty, rows
+
+from conftest import SF001
+from ledgerloom.llm import pii
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(d) * 2 if k % 2 else int(d) for k, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def slow_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if {
+                "email": lambda: True,
+                "ip": lambda: all(int(x) <= 255 for x in m[0].split(".")),  # noqa: B023
+                "card": lambda: 13 <= len(digits) <= 19 and luhn(digits),  # noqa: B023
+                "phone": lambda: 9 <= len(digits) <= 15,  # noqa: B023
+            }[kind]():
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_equal_the_patterns():
+    random.seed(3)
+    found = 0
+    for alphabet in ("a.@-1 ", "0123.+ ()-", "4111 -", "a@b.cé\n1+"):
+        for _ in range(8000):
+            text = "".join(random.choices(alphabet, k=random.randint(0, 40)))
+            assert pii.base_spans(text) == slow_spans(text), text
+            found += len(slow_spans(text))
+    assert found > 1000
+
+
+def test_odd_long_texts_take_linear_time():
+    began = time.time()
+    for text in ("1" * 200_000, "@" * 100_000, "a@" * 100_000, "+1" + " " * 200_000, "1." * 100_000, "_" * 200_000, "a" * 300_000 + "@"):
+        pii.scan(text)
+    assert time.time() - began < 20
+
+
+def test_documents_against_the_patterns(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = pii.find(docs).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        want = slow_spans(texts[r.doc_id])
+        told = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+        assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(w[0] == k for w in want) for k in PATTERNS]
+        assert r.spans.startswith(told)
+
+
+def boot(spark):
+    said = [f"please reach me via user{i}@host{i}.com today" for i in range(12)]
+    said += [f"we said item code{i}x was fine" for i in range(12)]
+    said += ["please reach me via jdoe_1977 today", "again jdoe_1977 wrote", "then item code99x left", "password=ab12cd34ef56ab78cd90"]
+    return spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+
+
+def test_patterns_of_seeds_discover_unseen_identifiers(spark):
+    docs = boot(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    added = {}
+    for r in pii.find(docs).collect():
+        for kind, s, e in (x.split(":") for x in r.spans.split(",") if x):
+            if kind not in pii.KINDS:
+                added.setdefault((kind, texts[r.doc_id][int(s) : int(e)]), set()).add(r.doc_id)
+    assert added == {("context", "jdoe_1977"): {24, 25}, ("secret", "ab12cd34ef56ab78cd90"): {27}}
+
+
+def test_score_against_a_plain_loop(spark):
+    edges = [("p", v, v < 4) for v in range(6)] + [("q", v, False) for v in range(5, 9)] + [("q", 1, True)]
+    patterns, values = pii.score(spark.createDataFrame(edges, "pattern string, value long, seed boolean"), rounds=3)
+    p, v = {}, {}
+    for _ in range(3):
+        p = {k: sum(1.0 if s else v.get(x, 0.0) for q, x, s in edges if q == k) / (sum(q == k for q, _, _ in edges) + 1) for k in "pq"}
+        v = {}
+        for x in {x for _, x, s in edges if not s}:
+            doubt = 1.0
+            for q, y, _ in edges:
+                doubt *= 1 - p[q] if y == x else 1
+            v[x] = 1 - doubt
+    assert {r.pattern: round(r.confidence, 9) for r in patterns.collect()} == {k: round(x, 9) for k, x in p.items()}
+    assert {r.value: round(r.confidence, 9) for r in values.collect()} == {k: round(x, 9) for k, x in v.items()}
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(1, "mail a.b@c.de or +1 (555) 123-4567 now", 9), (2, "nothing", 7), (3, None, None), (2, "nothing", 7)], "doc_id long, text string, n_chars long")
+    assert rows(pii.redact(docs)) == [(1, "mail [EMAIL] or [PHONE] now", 27), (2, "nothing", 7), (2, "nothing", 7), (3, None, None)]
+
+
+def test_edge_cases(spark):
+    docs = edge_docs(spark)
+    found = pii.find(clashing(docs))
+    assert found.count() == docs.count()
+    assert {r.base_sha256 for r in found.collect()} == {hashlib.sha256(b"").hexdigest()}
+    assert rows(pii.find(empty(docs))) == []
+    assert pii.redact(docs).count() == docs.count()

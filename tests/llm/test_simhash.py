@@ -1,0 +1,108 @@
+import numpy as np
+import pytest
+import xxhash
+from helpers import clashing, edge_docs, empty, rows
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from ledgerloom.llm import simhash
+from ledgerloom.llm.graph import connected_components
+
+
+def slow_fingerprint(text, n=3):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\v\f\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    runs = [" ".join(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(prints, distance):
+    """fingerprint -> smallest fingerprint linked to it."""
+    prints, root = sorted(set(prints)), {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(prints):
+        for b in prints[i + 1 :]:
+            if (a ^ b).bit_count() <= distance:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {p: find(p) for p in prints}
+
+
+def test_fingerprint_equals_the_definition():
+    for text in ("", " \n", "one", "one two", "One  two\tTHREE four", "É é a b c d e f", "a b " * 999):
+        assert simhash.fingerprint(text.encode()) == slow_fingerprint(text)
+
+
+def test_pieces_of_a_long_text_make_no_difference(monkeypatch):
+    text = " ".join(str(i * i) for i in range(3000)).encode()
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "PIECE", 100)
+    assert simhash.fingerprint(text) == whole
+
+
+def test_documents_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    prints = {r.doc_id: slow_fingerprint(r.text) for r in docs.collect()}
+    root = slow_components(prints.values(), 2)
+    least = {}
+    for d, p in prints.items():
+        least[root[p]] = min(d, least.get(root[p], d))
+    assert got == {d: (f"{p:016x}", least[root[p]]) for d, p in prints.items()}
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3])
+@pytest.mark.parametrize("bucket", [2, 1000])
+def test_links_of_crowded_fingerprints(spark, distance, bucket):
+    """Chains and crowds in few bits, by pairs and by hubs."""
+    rng = np.random.default_rng(distance)
+    base = int(rng.integers(1 << 62))
+    crowd = {base ^ int(rng.integers(1 << 7)) for _ in range(60)} | {int(x) for x in rng.integers(1 << 62, size=40)}
+    crowd |= {0, base ^ (1 << 63) ^ 0b111}
+    fps = spark.createDataFrame([(x - (1 << 64) if x >= 1 << 63 else x,) for x in crowd], "fp long")
+    edges = simhash.links(fps, distance, bucket)
+    got = {r.node: r.root for r in connected_components(edges).collect()}
+    want = slow_components(crowd, distance)
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    pairs = {(signed(p), signed(q)) for p in want for q in want if want[p] == want[q]}
+    assert {(p, q) for p in map(signed, want) for q in map(signed, want) if got.get(p, p) == got.get(q, q)} == pairs
+    assert edges.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > distance).isEmpty()
+
+
+def test_thresholds_cover_the_distance_and_are_the_cheapest():
+    costs = [[0, 5, 9, 50], [0, 1, 2, 3], [0, 100, 200, 300]]
+    cost, chosen = simhash.allocate(costs, 2)
+    assert sum(t + 1 for t in chosen) == 3 and (cost, chosen) == (3, [-1, 2, -1])
+
+
+def test_edge_cases(spark):
+    docs = edge_docs(spark)
+    got = simhash.near_duplicates(clashing(docs))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"] and got.count() == docs.count()
+    by = {r.doc_id: r for r in got.collect()}
+    assert by[3].fingerprint == "0" * 16 and by[3].component_id == by[4].component_id == by[5].component_id == 3
+    assert by[2].component_id == 1 and by[7].component_id == 7
+    assert rows(simhash.near_duplicates(empty(docs))) == []
+
+
+def test_deduplicate_keeps_one_row_of_each_group(spark):
+    docs = edge_docs(spark)
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept.select("doc_id").collect()) == [
+        (False, 1), (False, 3), (False, 6), (False, 7), (False, 8), (False, 9), (False, 10), (True, None)
+    ]
+
+
+def test_components_of_a_long_path(spark):
+    edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {r.root for r in connected_components(edges).collect()} == {0}
+    assert connected_components(edges.limit(0)).isEmpty()
