@@ -36,7 +36,6 @@ LOWER_TABLE = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
 
 _P = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2^64
 _P_INV = pow(_P, -1, 1 << 64)
-_powers: dict[str, np.ndarray] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,14 +129,25 @@ def word_bounds(block: Block, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, block.offsets)
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) <= n:
-        size = 1 << (n + 1).bit_length()
-        for name, base in (("up", _P), ("down", _P_INV)):
-            factors = np.full(size, base, np.uint64)
+class _Powers:
+    """Powers of the polynomial's base and of its inverse, grown as needed. A pickled one is
+    empty: these tables stay out of the closures that are sent to tasks."""
+
+    def __init__(self):
+        self.tables = {_P: np.ones(1, np.uint64), _P_INV: np.ones(1, np.uint64)}
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def get(self, base: int, n: int) -> np.ndarray:
+        if len(self.tables[base]) < n:
+            factors = np.full(1 << n.bit_length(), base, np.uint64)
             factors[0] = 1
-            _powers[name] = np.multiply.accumulate(factors)
-    return _powers["up"], _powers["down"]
+            self.tables[base] = np.multiply.accumulate(factors)
+        return self.tables[base][:n]
+
+
+_powers = _Powers()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -152,10 +162,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = LOWER) -> np.ndarray:
     """Hash of each span of bytes (by default without regard to ASCII case): differences of
     prefix sums of a polynomial modulo 2^64, so the cost does not depend on the lengths."""
-    up, down = _power(len(buf))
     sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(fold[buf] * up[: len(buf)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    np.cumsum(fold[buf] * _powers.get(_P, len(buf)), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _powers.get(_P_INV, len(buf) + 1)[starts])
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
