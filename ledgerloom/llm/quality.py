@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.shared import Block, mix, restored, span_hashes, text_blocks, word_bounds
 
 SLOTS = 1 << 18
-TRAIN_TEXTS, TRAIN_CHARS = 1000, 20_000
+TRAIN_TEXTS, TRAIN_CHARS = 500, 20_000
 EPOCHS, RATE, DECAY = 60, 0.5, 1e-4
 #: A feature is learned if it is in so many training texts.
 FREQUENT = 3
@@ -70,11 +70,12 @@ class Model:
         (block,) = text_blocks(pa.array(texts, pa.string()), 1 << 40)
         slots, per = features(block)
         words = np.diff(per)
-        text = np.repeat(np.repeat(np.arange(len(texts)), words), KINDS)
+        text = np.repeat(np.repeat(np.arange(len(texts), dtype=np.int32), words), KINDS)
         flat = slots.ravel()
         pairs = np.unique(text.astype(np.int64) * SLOTS + flat)
         keep = np.bincount(pairs % SLOTS, minlength=SLOTS) >= FREQUENT
         used, flat = np.unique(flat, return_inverse=True)
+        flat = flat.astype(np.int32)
         value = 1.0 / np.maximum(words, 1)[text]
         top = len(self.thresholds())
         # the same total weight for each grade
