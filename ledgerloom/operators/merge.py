@@ -3,9 +3,8 @@
 Plain Parquet has no MERGE, so an upsert is ``target ANTI JOIN update-keys UNION ALL
 updates``. That has MERGE's semantics: a matched key has its whole row replaced,
 unmatched updates are inserted (all of them, even several sharing a key), and NULL keys
-never match. When the update key set is proven small (a bounded row count) it is
-broadcast and the target streams through without a shuffle; otherwise both sides are
-shuffled on the keys and AQE splits skewed partitions.
+never match. Catalyst picks the join by the sides' sizes: adaptive execution broadcasts
+a small update set and splits skewed partitions of a shuffled one.
 """
 
 from __future__ import annotations
@@ -19,9 +18,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import EPOCH, ntz_lit, receipt_length_ok, surrogate_key
 from ledgerloom.operators.dedup import latest_wins, sales_order, store_order
 
-# Largest update key set that is broadcast to the target's scan tasks.
-BROADCAST_MAX_ROWS = 1_000_000
-
 FACT_COLUMNS = (
     "store_token", "transaction_id", "receipt_token", "transaction_time", "amount", "user_role", "batch_date",
     "last_load_ts",
@@ -33,31 +29,12 @@ DIM_COLUMNS = (
 )
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size proof for a broadcast: an exact row count.
-
-    ``count()`` is a partial aggregation (one number per task), unlike
-    ``limit(n).count()``, which funnels up to n rows of every task through a single
-    partition. Callers check sets they persist anyway (a day's updates), so the count
-    also fills the cache the join then reads.
-    """
-    return df.count() <= max_rows
-
-
-def upsert(
-    target: DataFrame | None,
-    updates: DataFrame,
-    keys: Sequence[str],
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace target rows whose key appears in ``updates``; insert the rest."""
     updates = updates.select(*(target.columns if target is not None else updates.columns))
     if target is None:
         return updates
-    update_keys = updates.select(*keys).distinct()
-    if broadcast_max_rows and has_at_most(updates, broadcast_max_rows):
-        update_keys = F.broadcast(update_keys)
-    return target.join(update_keys, list(keys), "left_anti").unionByName(updates)
+    return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
 
 
 def high_water_mark(target: DataFrame | None, ts_col: str) -> _dt.datetime:
@@ -124,7 +101,6 @@ def build_fact(
     valid: DataFrame,
     fact: DataFrame | None = None,
     mark: _dt.datetime | None = None,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """gold.fact_sales: slice above the fact's mark, re-check, dedup, upsert."""
     src = fact_candidates(valid)
@@ -132,7 +108,7 @@ def build_fact(
         if mark is None:
             mark = high_water_mark(fact, "last_load_ts")
         src = incremental_slice(src, mark)
-    return upsert(fact, dedup_sales(src), FACT_KEYS, broadcast_max_rows)
+    return upsert(fact, dedup_sales(src), FACT_KEYS)
 
 
 # ---------------------------------------------------------------- SCD type 2
@@ -161,73 +137,59 @@ def scd2_initial(stores_clean: DataFrame) -> DataFrame:
     )
 
 
+def _against_current(dim: DataFrame, stores_clean: DataFrame) -> DataFrame:
+    """Every dimension row as struct ``d`` next to the incoming version ``n`` of its store, if
+    it is the store's open row; incoming stores without an open row come alone. ``status``
+    is NULL where nothing came in."""
+    d = dim.select(F.struct(*dim.columns).alias("d"))
+    n = latest_stores(stores_clean).select(F.struct("store_token", "store_group", "store_name", "load_ts").alias("n"))
+    same_store = F.col("d.is_current") & (F.col("d.store_token") == F.col("n.store_token"))
+    differs = ~F.struct("d.store_group", "d.store_name").eqNullSafe(F.struct("n.store_group", "n.store_name"))
+    status = F.when(F.col("n").isNotNull(), F.when(F.col("d").isNull(), "NEW").when(differs, "CHANGED").otherwise("SAME"))
+    return d.join(n, same_store, "full").withColumn("status", status)
+
+
 def scd2_changes(dim: DataFrame, stores_clean: DataFrame) -> DataFrame:
-    """Latest store version against the current dimension row: NEW / CHANGED / SAME."""
-    latest = latest_stores(stores_clean).alias("l")
-    current = dim.where(F.col("is_current")).alias("e")
-    joined = latest.join(current, F.col("l.store_token") == F.col("e.store_token"), "left")
-    status = (
-        F.when(F.col("e.store_token").isNull(), F.lit("NEW"))
-        .when(
-            ~F.col("e.store_group").eqNullSafe(F.col("l.store_group"))
-            | ~F.col("e.store_name").eqNullSafe(F.col("l.store_name")),
-            F.lit("CHANGED"),
-        )
-        .otherwise(F.lit("SAME"))
-    )
-    return joined.select(
-        F.col("l.store_token").alias("store_token"),
-        F.col("l.store_group").alias("store_group"),
-        F.col("l.store_name").alias("store_name"),
-        F.col("l.load_ts").alias("load_ts"),
-        F.col("e.dim_store_key").alias("old_key"),
-        F.col("e.valid_from").alias("old_valid_from"),
-        F.col("e.first_seen_ts").alias("old_first_seen"),
-        F.col("e.store_group").alias("old_group"),
-        F.col("e.store_name").alias("old_name"),
-        status.alias("change_status"),
-    )
+    """(store_token, change_status): each incoming store is NEW, CHANGED or SAME."""
+    met = _against_current(dim, stores_clean).where("status is not null")
+    return met.select(F.col("n.store_token").alias("store_token"), F.col("status").alias("change_status"))
 
 
-def scd2_apply(
-    dim: DataFrame | None,
-    stores_clean: DataFrame,
-    incremental: bool = True,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Close changed rows and open new versions; SAME stores are left untouched.
+def scd2_apply(dim: DataFrame | None, stores_clean: DataFrame, incremental: bool = True) -> DataFrame:
+    """Close changed rows and open new versions; all other rows stay as they are.
 
-    ``incremental`` first slices ``stores_clean`` above the dimension's mark; versions
-    at or below it were already seen by an earlier run, so the result is the same.
+    One outer join yields every row of the result: a changed store's pair becomes two rows
+    (the closed one and its successor) by ``explode``, so no input is read twice.
+    ``incremental`` first slices ``stores_clean`` above the dimension's mark; versions at or
+    below it were seen by an earlier run, so the result is the same.
     """
     if dim is None:
         return scd2_initial(stores_clean)
     if incremental:
         stores_clean = incremental_slice(stores_clean, high_water_mark(dim, "last_load_ts"))
-    ch = scd2_changes(dim, stores_clean)
-    closed = ch.where(F.col("change_status") == "CHANGED").select(
-        F.col("old_key").alias("dim_store_key"),
-        "store_token",
-        F.col("old_group").alias("store_group"),
-        F.col("old_name").alias("store_name"),
-        F.col("old_valid_from").alias("valid_from"),
-        F.col("load_ts").alias("valid_to"),
-        F.lit(False).alias("is_current"),
-        F.col("old_first_seen").alias("first_seen_ts"),
-        F.col("load_ts").alias("last_load_ts"),
-    )
-    opened = ch.where(F.col("change_status").isin("NEW", "CHANGED")).select(
-        surrogate_key("store_token", "load_ts").alias("dim_store_key"),
-        "store_token",
-        "store_group",
-        "store_name",
-        F.col("load_ts").alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-        F.lit(True).alias("is_current"),
-        F.coalesce("old_first_seen", "load_ts").alias("first_seen_ts"),
-        F.col("load_ts").alias("last_load_ts"),
+    met = _against_current(dim, stores_clean)
+    at = F.col("n.load_ts")
+    kept = F.struct(*[F.col("d")[c].alias(c) for c in DIM_COLUMNS])
+    ended = {"valid_to": at, "is_current": F.lit(False), "last_load_ts": at}
+    closed = F.struct(*[ended.get(c, F.col("d")[c]).alias(c) for c in DIM_COLUMNS])
+    begun = {
+        "dim_store_key": surrogate_key(F.col("n.store_token"), at),
+        "store_token": F.col("n.store_token"),
+        "store_group": F.col("n.store_group"),
+        "store_name": F.col("n.store_name"),
+        "valid_from": at,
+        "valid_to": F.lit(None).cast("timestamp_ntz"),
+        "is_current": F.lit(True),
+        "first_seen_ts": F.coalesce("d.first_seen_ts", at),
+        "last_load_ts": at,
+    }
+    opened = F.struct(*[begun[c].alias(c) for c in DIM_COLUMNS])
+    rows = (
+        F.when(F.col("status") == "NEW", F.array(opened))
+        .when(F.col("status") == "CHANGED", F.array(closed, opened))
+        .otherwise(F.array(kept))
     )
-    return upsert(dim, closed.unionByName(opened), ["dim_store_key"], broadcast_max_rows)
+    return met.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def dim_current(dim: DataFrame) -> DataFrame:

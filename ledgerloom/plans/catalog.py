@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import (
+    SALES_COLUMNS,
     STORE_COLUMNS,
-    batch_date_of,
     cents_to_total,
     clean_amount,
-    file_type_of,
     null_if_token,
     parse_transaction_time,
 )
 from ledgerloom.operators import checks, merge, quality, reports
 from ledgerloom.operators.dedup import last_n_values
-from ledgerloom.sources import adapters
+from ledgerloom.plans import tables
+from ledgerloom.session import scratch_path, shared_dir
+from ledgerloom.sources import adapters, csv_inbox
 from ledgerloom.sources.adapters import read_table
 
 # --- fixed values of the query catalogue (shared with the oracle SQL) ---
@@ -34,6 +35,11 @@ MERGE_CUTOFF = _dt.date(2000, 1, 1)
 LOGGED_BEFORE_DAYS = 30
 PRIOR_LOG_TS = _dt.datetime(2024, 12, 30, 3, 0)
 RUN_LOG_TS = _dt.datetime(2024, 12, 31, 3, 0)
+# CSV deliveries made of lineitem: days, files of each, run time, and which lines are quoted, short, long.
+DELIVERY_DAYS = (_dt.date(2024, 1, 1), _dt.date(2024, 1, 2))
+DELIVERY_FILES = 4
+RUN_TIME = _dt.time(3, 0)
+QUOTED_MOD, SHORT_MOD, LONG_MOD = 79, 71, 73
 # --- end of fixed values ---
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +70,7 @@ def _stored_fact(spark, sf_dir):
     ``checkpoint()`` writes it to the session's shared checkpoint folder and cuts the
     lineage, so a report's date lookup and its main plan do not each rebuild the fact.
     """
-    from ledgerloom.session import shared_dir
-
-    shared_dir(spark)  # the cluster's setting; a local folder only where none is set
+    shared_dir(spark)
     return _fact(spark, sf_dir).checkpoint(eager=True)
 
 
@@ -87,19 +91,17 @@ def _dim(spark, sf_dir):
 
 
 def _manifest(spark, sf_dir):
-    files = _raw(spark, sf_dir).groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
-    return files.select(
-        file_type_of("file_name").alias("file_type"),
-        batch_date_of("file_name").alias("batch_date"),
-        "file_name",
-        F.col("row_count").cast("long").alias("row_count"),
-    )
+    """The shipped manifest of the feed's files, with the row count that ingestion would log."""
+    counts = _raw(spark, sf_dir).groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
+    names = sorted(r.file_name for r in counts.select("file_name").collect())  # one row per file
+    return csv_inbox.manifest(spark, names, RUN_LOG_TS).join(counts, "file_name").drop("path")
 
 
 def _prior_log(manifest: DataFrame) -> DataFrame:
-    """Files an earlier run already loaded: batch dates older than the recent window."""
+    """Log of an earlier run over the files of batch dates older than the recent window."""
     cutoff = manifest.agg(F.date_sub(F.max("batch_date"), LOGGED_BEFORE_DAYS).alias("cutoff"))
-    return manifest.join(F.broadcast(cutoff), F.col("batch_date") <= F.col("cutoff"), "left_semi")
+    old = manifest.join(F.broadcast(cutoff), F.col("batch_date") <= F.col("cutoff"), "left_semi")  # one row
+    return csv_inbox.log_rows(old, PRIOR_LOG_TS)
 
 
 # ------------------------------------------------------------------ queries
@@ -151,8 +153,6 @@ def q_fact_dedup(spark, sf_dir):
 
 def _stored_fact_batch1(spark, sf_dir):
     """The first delivery's fact, written once (as the daily run would have stored it)."""
-    from ledgerloom.session import shared_dir
-
     shared_dir(spark)
     return _fact_batch1(spark, sf_dir).checkpoint(eager=True)
 
@@ -212,17 +212,17 @@ def q_report_daily(spark, sf_dir):
 
 
 def q_mtd_running_total(spark, sf_dir):
-    daily = reports.month_to_date(reports.daily_metrics(reports.daily_store_totals(_fact(spark, sf_dir))))
+    daily = reports.month_to_date(reports.daily_summary(reports.daily_store_totals(_fact(spark, sf_dir))))
     return daily.select("transaction_date", cents_to_total("day_cents").alias("total_sales_amount"),
                         cents_to_total("mtd_cents").alias("month_accumulated_sales"))
 
 
 def q_top_store_per_day(spark, sf_dir):
-    return reports.top_store_per_day(reports.daily_store_totals(_fact(spark, sf_dir)))
+    return reports.top_store(reports.daily_store_totals(_fact(spark, sf_dir)))
 
 
 def q_last_n_dates(spark, sf_dir):
-    return last_n_values(reports.fact_by_day(_fact(spark, sf_dir)), "transaction_date", reports.DAILY_DATES)
+    return last_n_values(reports.sales_by_day(_fact(spark, sf_dir)), "transaction_date", reports.DAILY_DATES)
 
 
 def q_report_topk(spark, sf_dir):
@@ -230,21 +230,18 @@ def q_report_topk(spark, sf_dir):
 
 
 def q_file_manifest(spark, sf_dir):
-    return _manifest(spark, sf_dir)
+    return _manifest(spark, sf_dir)  # file_name, file_type, batch_date, file_order, load_ts, row_count
 
 
 def q_pending_files(spark, sf_dir):
     m = _manifest(spark, sf_dir)
-    return m.join(_prior_log(m), ["file_type", "batch_date", "file_name"], "left_anti")
+    return csv_inbox.pending(m, _prior_log(m)).select("file_type", "batch_date", "file_name", "row_count")
 
 
 def q_ingestion_log(spark, sf_dir):
-    from ledgerloom.sources.csv_inbox import append_log
-
     m = _manifest(spark, sf_dir)
-    prior = append_log(None, _prior_log(m), PRIOR_LOG_TS)
-    pending = m.join(prior.where(F.col("status") == "LOADED"), ["file_type", "batch_date", "file_name"], "left_anti")
-    return append_log(prior, pending, RUN_LOG_TS)
+    prior = _prior_log(m)
+    return prior.unionByName(csv_inbox.log_rows(csv_inbox.pending(m, prior), RUN_LOG_TS))
 
 
 def q_check_not_null(spark, sf_dir):
@@ -254,6 +251,9 @@ def q_check_not_null(spark, sf_dir):
         checks.not_null_failures(fact, "fact_sales", checks.NOT_NULL["fact_sales"]),
         checks.not_null_failures(dim, "dim_store", checks.NOT_NULL["dim_store"]),
         checks.not_null_failures(_rejected(spark, sf_dir), "sales_rejected", checks.NOT_NULL["sales_rejected"]),
+        checks.not_null_failures(
+            reports.report_batches(_raw(spark, sf_dir), fact, _rejected(spark, sf_dir), snapshot_date=SNAPSHOT_DATE),
+            "report_batches", checks.NOT_NULL["report_batches"]),
         checks.not_null_failures(reports.report_daily(fact, snapshot_date=SNAPSHOT_DATE), "report_daily",
                                  checks.NOT_NULL["report_daily"]),
         checks.not_null_failures(reports.report_topk(fact, dim, snapshot_date=SNAPSHOT_DATE), "report_topk",
@@ -309,8 +309,6 @@ def write_deliveries(
     Spark writes each delivery in parallel (one file per task, ``files`` tasks when
     given); the part files are then renamed into the inbox, a metadata-only step.
     """
-    from ledgerloom.plans import tables
-
     for prefix, df in deliveries.items():
         out = f"{inbox}/_write_{prefix}"
         if files:
@@ -327,12 +325,45 @@ def write_deliveries(
     return inbox
 
 
-def q_ingest_csv_roundtrip(spark, sf_dir):
-    """Supplier deliveries written as CSV (one with a header, one padded and with NULL
-    tokens), ingested, and read back from bronze."""
-    from ledgerloom.session import scratch_path
-    from ledgerloom.sources import csv_inbox
+def sales_files(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` as lines of CSV deliveries: ``(file, place, line)``.
 
+    Two days of DELIVERY_FILES files each; the first file of a day has a header. Lines come
+    quoted, short, long, and with NULL spelled in two ways.
+    """
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_returnflag"]
+    wide = adapters.raw_sales(lineitem, keep=order)
+    pk = F.col("l_partkey")
+    null = F.when(pk % 2 == 0, F.lit("NULL")).otherwise(F.lit(""))
+    told = [F.coalesce(F.col(c), null) for c in SALES_COLUMNS]
+    role = F.when(pk % QUOTED_MOD == 0, F.concat(F.lit('"'), told[5], F.lit(', x"'))).otherwise(told[5])
+    line = (
+        F.when(pk % SHORT_MOD == 0, F.concat_ws(",", *told[:4]))
+        .when(pk % LONG_MOD == 0, F.concat_ws(",", *told[:5], role, F.lit("more"), F.lit("more")))
+        .otherwise(F.concat_ws(",", *[F.concat(F.lit(" "), t) for t in told[:4]], told[4], role))
+    )
+    day = F.when(F.col("l_shipdate") < F.lit(MERGE_CUTOFF), F.lit(DELIVERY_DAYS[0])).otherwise(F.lit(DELIVERY_DAYS[1]))
+    number = (F.col("l_orderkey") % DELIVERY_FILES).cast("string")
+    file = F.concat(F.lit("sales_"), F.date_format(day, "yyyyMMdd"), F.lit("_"), number)
+    lines = wide.select(file.alias("file"), F.struct(F.lit(1).alias("body"), *order).alias("place"), line.alias("line"))
+    heads = lines.select("file").distinct().where(F.col("file").endswith("_0"))
+    none = [F.lit(None).cast(lines.schema["place"].dataType[c].dataType).alias(c) for c in order]
+    head = F.struct(F.lit(0).alias("body"), *none)
+    return lines.unionByName(heads.select("file", head.alias("place"), F.lit(",".join(SALES_COLUMNS)).alias("line")))
+
+
+def write_files(spark: SparkSession, lines: DataFrame, inbox: str) -> str:
+    """Each ``file`` of ``lines`` as ``<file>.csv`` in ``inbox``, its lines in order of place."""
+    out = f"{inbox}/_write_lines"
+    ordered = lines.repartition("file").sortWithinPartitions("file", "place")
+    ordered.select("line", "file").write.partitionBy("file").text(out)
+    for name in tables.partition_values(spark, out, "file"):
+        (part,) = tables.list_files(spark, f"{out}/file={name}", ".txt")
+        tables.move(spark, part, f"{inbox}/{name}.csv")
+    return inbox
+
+
+def _store_deliveries(spark, sf_dir):
     sup = read_table(spark, sf_dir, "supplier")
     v1 = adapters.raw_stores(sup, (1,)).select(*STORE_COLUMNS)
     v2 = adapters.raw_stores(sup, (2,)).select(
@@ -340,6 +371,13 @@ def q_ingest_csv_roundtrip(spark, sf_dir):
         "store_token",
         F.coalesce(F.concat(F.lit("  "), "store_name", F.lit(" ")), F.lit("NULL")).alias("store_name"),
     )
+    return v1, v2
+
+
+def q_ingest_csv_roundtrip(spark, sf_dir):
+    """Supplier deliveries written as CSV (one with a header, one padded and with NULL
+    tokens), ingested, and read back from bronze."""
+    v1, v2 = _store_deliveries(spark, sf_dir)
     root = scratch_path(spark, "csv-roundtrip")
     inbox = write_deliveries(
         spark,
@@ -348,7 +386,66 @@ def q_ingest_csv_roundtrip(spark, sf_dir):
         {f"stores_{adapters.STORES_V1_DATE:%Y%m%d}": True},
     )
     csv_inbox.ingest(spark, inbox, f"{root}/bronze", run_ts=RUN_LOG_TS)
-    return spark.read.parquet(f"{root}/bronze/stores_raw").select(*STORE_COLUMNS, "batch_date")
+    return csv_inbox.bronze(spark, f"{root}/bronze", "stores").select(*STORE_COLUMNS, "batch_date")
+
+
+def q_ingest_sales_roundtrip(spark, sf_dir):
+    """``lineitem`` through CSV files into bronze: every column but the record positions."""
+    root = scratch_path(spark, "sales-roundtrip")
+    inbox = write_files(spark, sales_files(read_table(spark, sf_dir, "lineitem")), f"{root}/inbox")
+    csv_inbox.ingest(spark, inbox, f"{root}/bronze", run_ts=RUN_LOG_TS)
+    return csv_inbox.bronze(spark, f"{root}/bronze", "sales").select(*SALES_COLUMNS, "batch_date", "file_name", "load_ts")
+
+
+def q_ingest_summary(spark, sf_dir):
+    """The summaries of loading the same files twice, and what the log holds afterwards."""
+    root = scratch_path(spark, "sales-summary")
+    inbox = write_files(spark, sales_files(read_table(spark, sf_dir, "lineitem")), f"{root}/inbox")
+    first = csv_inbox.ingest(spark, inbox, f"{root}/bronze", run_ts=RUN_LOG_TS).summary
+    second = csv_inbox.ingest(spark, inbox, f"{root}/bronze", run_ts=RUN_LOG_TS).summary
+    log = spark.read.parquet(f"{root}/bronze/ingestion_log").withColumn("reason", F.lit(None).cast("string"))
+    out = None
+    for name, df in (("first", first), ("second", second), ("log", log)):
+        part = df.select(F.lit(name).alias("step"), "file_name", "file_type", "batch_date", "status", "reason", "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_daily_run_two_deliveries(spark, sf_dir):
+    """Two daily runs over CSV deliveries; then fact (by day), dimension and reports, one row
+    ``(table_name, k, v)`` for each of theirs."""
+    from ledgerloom.plans import daily_run
+
+    root = scratch_path(spark, "daily")
+    lines = sales_files(read_table(spark, sf_dir, "lineitem"))
+    for day, stores in zip(DELIVERY_DAYS, _store_deliveries(spark, sf_dir)):
+        prefix = f"{day:%Y%m%d}"
+        inbox = write_files(spark, lines.where(F.col("file").startswith(f"sales_{prefix}")), f"{root}/in{prefix}")
+        write_deliveries(spark, {f"stores_{prefix}": stores}, inbox, {}, files=1)
+        daily_run.run_daily(spark, inbox, f"{root}/wh", run_ts=_dt.datetime.combine(day, RUN_TIME), snapshot_date=SNAPSHOT_DATE,
+                            fact_by="month")  # lineitem has few rows a day
+    t = daily_run.read_tables(spark, f"{root}/wh", ("fact_sales", "dim_store", *daily_run.REPORT_ORDER))
+    text = lambda *cols: F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in cols])
+    day = F.col("transaction_time").cast("date").alias("transaction_date")
+    by_day = t["fact_sales"].groupBy(day).agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
+    dim, c = t["dim_store"], F.col
+    stamp = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSS")
+    parts = [
+        ("fact_sales", by_day, text(c("transaction_date")), text(c("n"), c("total"))),
+        ("dim_store", dim, text(c("dim_store_key")),
+         text(c("store_token"), c("store_group"), c("store_name"), stamp("valid_from"), stamp("valid_to"), c("is_current"), stamp("first_seen_ts"))),
+        ("report_batches", t["report_batches"], text(c("batch_date")),
+         text(c("snapshot_date"), c("total_processed_raw"), c("total_valid"), c("total_invalid"), c("processing_date"))),
+        ("report_daily", t["report_daily"], text(c("transaction_date")),
+         text(c("stores_with_tx"), c("total_sales_amount"), c("total_sales_avg"), c("month_accumulated_sales"), c("top_store_token"))),
+        ("report_topk", t["report_topk"], text(c("transaction_date"), c("top_rank_id")),
+         text(c("store_total_sales"), c("store_token"), c("store_name"))),
+    ]
+    out = None
+    for name, df, k, v in parts:
+        part = df.select(F.lit(name).alias("table_name"), k.alias("k"), v.alias("v"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 QUERIES: dict[str, Query] = {
@@ -380,4 +477,7 @@ QUERIES: dict[str, Query] = {
     "check_unique": q_check_unique,
     "batch_reconciliation": q_batch_reconciliation,
     "ingest_csv_roundtrip": q_ingest_csv_roundtrip,
+    "ingest_sales_roundtrip": q_ingest_sales_roundtrip,
+    "ingest_summary": q_ingest_summary,
+    "daily_run_two_deliveries": q_daily_run_two_deliveries,
 }

@@ -1,9 +1,9 @@
 """DuckDB SQL for every registered query: an independent oracle of the Spark plans.
 
-The views ``lineitem``, ``supplier``, ... are registered by the caller. Reports are
-written the way the source system writes them (``QUALIFY dense_rank()``, joins of
-separately aggregated CTEs), so the Spark rewrites are checked against the original
-formulation, not against themselves.
+The views ``lineitem``, ``supplier``, ... are registered by the caller. Results are derived
+from the definitions by other means than the Spark code's: report 1 as one grouped pass over
+tagged rows, top stores by ``arg_max`` or by counting better ones, month totals by a
+correlated sum, and the dimension's history by ``lead`` over each store's versions.
 """
 
 from __future__ import annotations
@@ -27,9 +27,7 @@ def avg_half_up(s: str, n: str) -> str:
     )
 
 
-RAW = """raw AS (
-  SELECT
-    CASE WHEN l_partkey % 103 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS store_token,
+_FIELDS = """    CASE WHEN l_partkey % 103 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS store_token,
     CASE WHEN l_partkey % 107 <> 0 THEN CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END
       AS transaction_id,
     CASE WHEN l_partkey % 101 = 0 THEN NULL WHEN l_partkey % 97 = 0 THEN 'AB'
@@ -40,15 +38,19 @@ RAW = """raw AS (
     CASE WHEN l_partkey % 83 = 0 THEN 'NOT_MONEY'
          ELSE '$' || CAST(CAST(l_extendedprice AS DECIMAL(11,2)) AS VARCHAR) END AS amount,
     l_returnflag AS user_role,
-    bd AS batch_date,
-    'sales_' || strftime(bd, '%Y%m%d') || '.csv' AS file_name,
-    CAST(bd AS TIMESTAMP) + to_hours(l_linenumber) AS load_ts
-  FROM (
+"""
+_TIMED = """(
     SELECT *,
       l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) + to_minutes(CAST(l_partkey % 60 AS INTEGER)) AS ets,
       CAST(l_shipdate AS DATE) + CAST(l_linenumber % 3 AS INTEGER) AS bd
     FROM lineitem
-  ) li
+  ) li"""
+RAW = f"""raw AS (
+  SELECT
+{_FIELDS}    bd AS batch_date,
+    'sales_' || strftime(bd, '%Y%m%d') || '.csv' AS file_name,
+    CAST(bd AS TIMESTAMP) + to_hours(l_linenumber) AS load_ts
+  FROM {_TIMED}
 )"""
 
 PARSED = """parsed AS (
@@ -136,106 +138,94 @@ dim1 AS (
 )"""
 
 
-def changes(src: str) -> str:
-    return f"""latest_new AS ({latest_stores(src)}
+# Each store's versions in order: what the dimension holds, then the newest delivered one
+# unless it says the same. A version ends where the next begins.
+VERSIONS = f"""mark AS (SELECT coalesce(max(last_load_ts), {EPOCH}) AS newest FROM dim1),
+said AS (
+  SELECT store_token, store_group, store_name, valid_from AS ts, 0 AS incoming FROM dim1
+  UNION ALL
+  SELECT store_token, store_group, store_name, load_ts, 1
+  FROM ({latest_stores("(SELECT * FROM clean_all WHERE load_ts > (SELECT newest FROM mark))")})
 ),
-changes AS (
-  SELECT l.store_token, l.store_group, l.store_name, l.load_ts,
-         e.dim_store_key AS old_key, e.valid_from AS old_valid_from, e.first_seen_ts AS old_first_seen,
-         e.store_group AS old_group, e.store_name AS old_name,
-         CASE WHEN e.store_token IS NULL THEN 'NEW'
-              WHEN e.store_group IS DISTINCT FROM l.store_group OR e.store_name IS DISTINCT FROM l.store_name
-                THEN 'CHANGED'
-              ELSE 'SAME' END AS change_status
-  FROM latest_new l LEFT JOIN (SELECT * FROM dim1 WHERE is_current) e ON e.store_token = l.store_token
+kept AS (
+  SELECT * FROM said s WHERE incoming = 0 OR NOT EXISTS (
+    SELECT 1 FROM said o WHERE o.incoming = 0 AND o.store_token = s.store_token
+      AND (o.store_group, o.store_name) IS NOT DISTINCT FROM (s.store_group, s.store_name))
 )"""
-
-
 DIM = f"""{DIM1},
-{changes("(SELECT * FROM clean_all WHERE load_ts > (SELECT coalesce(max(last_load_ts), " + EPOCH + ") FROM dim1))")},
-dim_updates AS (
-  SELECT old_key AS dim_store_key, store_token, old_group AS store_group, old_name AS store_name,
-         old_valid_from AS valid_from, load_ts AS valid_to, false AS is_current, old_first_seen AS first_seen_ts,
-         load_ts AS last_load_ts
-  FROM changes WHERE change_status = 'CHANGED'
-  UNION ALL
-  SELECT {KEY}, store_token, store_group, store_name, load_ts, CAST(NULL AS TIMESTAMP), true,
-         coalesce(old_first_seen, load_ts), load_ts
-  FROM changes WHERE change_status IN ('NEW', 'CHANGED')
-),
+{VERSIONS},
 dim AS (
-  SELECT * FROM dim1 d WHERE NOT EXISTS (SELECT 1 FROM dim_updates u WHERE u.dim_store_key = d.dim_store_key)
-  UNION ALL
-  SELECT * FROM dim_updates
+  SELECT md5(store_token || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S.%g')) AS dim_store_key, store_token, store_group,
+         store_name, ts AS valid_from, lead(ts) OVER later AS valid_to, lead(ts) OVER later IS NULL AS is_current,
+         min(ts) OVER (PARTITION BY store_token) AS first_seen_ts, coalesce(lead(ts) OVER later, ts) AS last_load_ts
+  FROM kept WINDOW later AS (PARTITION BY store_token ORDER BY incoming)
 )"""
 
-FBD = """fbd AS (
-  SELECT CAST(transaction_time AS DATE) AS transaction_date, store_token, CAST(amount * 100 AS BIGINT) AS cents
-  FROM fact
-),
-dm AS (
-  SELECT transaction_date, count(DISTINCT store_token) AS stores_with_tx, sum(cents) AS day_cents, count(*) AS n_tx
-  FROM fbd GROUP BY 1
+PER_STORE = """per_store AS (
+  SELECT CAST(transaction_time AS DATE) AS day, store_token AS store, CAST(sum(amount * 100) AS BIGINT) AS cents,
+         count(*) AS sales
+  FROM fact GROUP BY ALL
 ),
-mrt AS (
-  SELECT transaction_date,
-         sum(day_cents) OVER (PARTITION BY date_trunc('month', transaction_date) ORDER BY transaction_date
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mtd_cents
-  FROM dm
+per_day AS (
+  SELECT day, count(*) AS stores, CAST(sum(cents) AS BIGINT) AS cents, CAST(sum(sales) AS BIGINT) AS sales,
+         arg_max(store, (cents, -rank_in_names)) AS best_store, max(cents) AS best_cents
+  FROM (SELECT p.*, dense_rank() OVER (ORDER BY store) AS rank_in_names FROM per_store p) GROUP BY day
 )"""
 
 
-def last_dates(name: str, n: int) -> str:
-    return f"""{name} AS (
-  SELECT DISTINCT transaction_date FROM fbd
-  QUALIFY dense_rank() OVER (ORDER BY transaction_date DESC) <= {n}
-)"""
+def newest_days(n: int) -> str:
+    return f"(SELECT day FROM per_day ORDER BY day DESC LIMIT {n})"
 
 
-REPORT_DAILY = f"""{last_dates('last40', 40)},
-top_store AS (
-  SELECT transaction_date, store_token AS top_store_token FROM (
-    SELECT f.transaction_date, f.store_token, sum(f.cents) AS st,
-           row_number() OVER (PARTITION BY f.transaction_date ORDER BY sum(f.cents) DESC, f.store_token ASC) AS rn
-    FROM fbd f JOIN last40 d ON d.transaction_date = f.transaction_date
-    GROUP BY 1, 2) x
-  WHERE rn = 1
-),
-report_daily AS (
-  SELECT {SNAP} AS snapshot_date, d.transaction_date, CAST(m.stores_with_tx AS BIGINT) AS stores_with_tx,
-         {tot('m.day_cents')} AS total_sales_amount, {avg_half_up('m.day_cents', 'm.n_tx')} AS total_sales_avg,
-         {tot('t.mtd_cents')} AS month_accumulated_sales, s.top_store_token
-  FROM last40 d
-  JOIN dm m ON m.transaction_date = d.transaction_date
-  LEFT JOIN mrt t ON t.transaction_date = d.transaction_date
-  LEFT JOIN top_store s ON s.transaction_date = d.transaction_date
+def month_so_far(d: str) -> str:
+    return (
+        f"(SELECT CAST(sum(e.cents) AS BIGINT) FROM per_day e "
+        f"WHERE e.day BETWEEN date_trunc('month', {d}.day) AND {d}.day)"
+    )
+
+
+REPORT_DAILY = f"""report_daily AS (
+  SELECT {SNAP} AS snapshot_date, d.day AS transaction_date, d.stores AS stores_with_tx,
+         {tot('d.cents')} AS total_sales_amount, {avg_half_up('d.cents', 'd.sales')} AS total_sales_avg,
+         {tot(month_so_far('d'))} AS month_accumulated_sales, d.best_store AS top_store_token
+  FROM per_day d WHERE d.day IN {newest_days(40)}
 )"""
 
-REPORT_TOPK = f"""{last_dates('last10', 10)},
-stpd AS (
-  SELECT f.transaction_date, f.store_token, sum(f.cents) AS sc,
-         row_number() OVER (PARTITION BY f.transaction_date ORDER BY sum(f.cents) DESC, f.store_token ASC)
-           AS top_rank_id
-  FROM fbd f JOIN last10 d ON d.transaction_date = f.transaction_date
-  GROUP BY 1, 2
-),
-report_topk AS (
-  SELECT {SNAP} AS snapshot_date, t.transaction_date, CAST(t.top_rank_id AS BIGINT) AS top_rank_id,
-         {tot('t.sc')} AS store_total_sales, t.store_token, s.store_name
-  FROM stpd t LEFT JOIN dim s ON s.store_token = t.store_token AND s.is_current = true
-  WHERE t.top_rank_id <= 5
+REPORT_TOPK = f"""report_topk AS (
+  SELECT {SNAP} AS snapshot_date, p.day AS transaction_date, CAST(1 + b.better AS BIGINT) AS top_rank_id,
+         {tot('p.cents')} AS store_total_sales, p.store AS store_token,
+         (SELECT any_value(s.store_name) FROM dim s WHERE s.is_current AND s.store_token = p.store) AS store_name
+  FROM per_store p JOIN (
+    SELECT x.day, x.store, count(y.store) AS better
+    FROM per_store x LEFT JOIN per_store y
+      ON y.day = x.day AND (y.cents > x.cents OR y.cents = x.cents AND y.store < x.store)
+    WHERE x.day IN {newest_days(10)} GROUP BY ALL
+  ) b ON b.day = p.day AND b.store = p.store
+  WHERE b.better < 5
 )"""
 
-MANIFEST = """manifest AS (
-  SELECT CASE WHEN starts_with(file_name, 'stores_') THEN 'stores'
-              WHEN starts_with(file_name, 'sales_') THEN 'sales' END AS file_type,
-         CAST(try_strptime(NULLIF(regexp_extract(regexp_replace(file_name, '\\.[^.]*$', ''), '(\\d{8})', 1), ''),
-                           '%Y%m%d') AS DATE) AS batch_date,
-         file_name, CAST(count(*) AS BIGINT) AS row_count
-  FROM raw GROUP BY file_name
+REPORT_BATCHES = f"""report_batches AS (
+  SELECT {SNAP} AS snapshot_date, batch_date, count(*) FILTER (WHERE tag = 'raw') AS total_processed_raw,
+         count(*) FILTER (WHERE tag = 'fact') AS total_valid, count(*) FILTER (WHERE tag = 'bad') AS total_invalid,
+         coalesce(CAST(max(load_ts) FILTER (WHERE tag = 'raw') AS DATE), {SNAP}) AS processing_date
+  FROM (
+    SELECT 'raw' AS tag, batch_date, load_ts FROM raw
+    UNION ALL SELECT 'fact', batch_date, NULL FROM fact
+    UNION ALL SELECT 'bad', batch_date, NULL FROM rejected
+  )
+  GROUP BY batch_date HAVING bool_or(tag = 'raw') ORDER BY batch_date DESC LIMIT 40
+)"""
+
+
+MANIFEST = f"""manifest AS (
+  SELECT split_part(file_name, '_', 1) AS file_type,
+         CAST(strptime(regexp_extract(file_name, '[0-9]{{8}}'), '%Y%m%d') AS DATE) AS batch_date,
+         file_name, rank() OVER (ORDER BY file_name) - 1 AS file_order, row_count,
+         TIMESTAMP '{catalog.RUN_LOG_TS:%Y-%m-%d %H:%M:%S}' + to_milliseconds(rank() OVER (ORDER BY file_name) - 1) AS load_ts
+  FROM (SELECT file_name, count(*) AS row_count FROM raw GROUP BY file_name)
 ),
-prior AS (
-  SELECT * FROM manifest WHERE batch_date <= (SELECT max(batch_date) - """ + str(catalog.LOGGED_BEFORE_DAYS) + """ FROM manifest)
+tagged AS (
+  SELECT *, batch_date <= max(batch_date) OVER () - {catalog.LOGGED_BEFORE_DAYS} AS logged FROM manifest
 )"""
 
 
@@ -260,7 +250,91 @@ def _ts(dt) -> str:
     return f"TIMESTAMP '{dt:%Y-%m-%d %H:%M:%S}'"
 
 
+# lineitem as CSV deliveries: two days of four files; short lines lack the last two fields
+# and some roles are quoted with a comma.
+_DAY2 = f"l_shipdate >= DATE '{catalog.MERGE_CUTOFF.isoformat()}'"
+
+
+def delivered(one_run: bool) -> str:
+    """The deliveries' rows; load stamps as of one run over both days, or of a run for each."""
+    number = f"l_orderkey % {catalog.DELIVERY_FILES}"
+    if one_run:
+        at = f"{_ts(catalog.RUN_LOG_TS)} + to_milliseconds({number} + CASE WHEN {_DAY2} THEN {catalog.DELIVERY_FILES} ELSE 0 END)"
+    else:
+        at = f"CAST(day AS TIMESTAMP) + INTERVAL {catalog.RUN_TIME.hour} HOUR + to_milliseconds({number})"
+    d1, d2 = (f"DATE '{d.isoformat()}'" for d in catalog.DELIVERY_DAYS)
+    return f"""raw AS (
+  SELECT * REPLACE (
+      CASE WHEN l_partkey % {catalog.SHORT_MOD} <> 0 THEN amount END AS amount,
+      CASE WHEN l_partkey % {catalog.SHORT_MOD} = 0 THEN NULL
+           WHEN l_partkey % {catalog.QUOTED_MOD} = 0 AND l_partkey % {catalog.SHORT_MOD} <> 0 THEN user_role || ', x'
+           ELSE user_role END AS user_role),
+    day AS batch_date, 'sales_' || strftime(day, '%Y%m%d') || '_' || CAST({number} AS VARCHAR) || '.csv' AS file_name,
+    {at} AS load_ts
+  FROM (
+    SELECT
+{_FIELDS}      l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_returnflag,
+      CASE WHEN {_DAY2} THEN {d2} ELSE {d1} END AS day
+    FROM {_TIMED})
+)"""
+
+
+_SALES_RAW = "store_token, transaction_id, receipt_token, transaction_time, amount, user_role, batch_date, file_name, load_ts"
+# a file's later line wins, and its lines are in this order
+_LINES = "l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_shipdate DESC, l_returnflag DESC"
+DELIVERED_FACT = f"""fact AS (
+  SELECT store_token, transaction_id, parsed_time AS transaction_time, parsed_amount AS amount, batch_date
+  FROM classified WHERE reject_reason IS NULL
+  QUALIFY row_number() OVER (PARTITION BY store_token, transaction_id ORDER BY load_ts DESC, {_LINES}) = 1
+)"""
+# the store files come after the sales files of their run
+_STORES_AT = f"INTERVAL {catalog.RUN_TIME.hour} HOUR + to_milliseconds({catalog.DELIVERY_FILES})"
+DELIVERED_STORES = RAW_STORES.replace("06:00:00", "00:00:00").replace(
+    "SELECT store_group, store_token, store_name, batch_date, load_ts,",
+    f"SELECT store_group, store_token, store_name, batch_date, load_ts + {_STORES_AT} AS load_ts,")
+
+
+def _told(table: str, keys: str, values: list[str]) -> str:
+    v = " || '|' || ".join(f"coalesce(CAST({x} AS VARCHAR), '-')" for x in values)
+    return f"SELECT '{table}' AS table_name, {keys} AS k, {v} AS v FROM {{}}"
+
+
+def _stamp(x: str) -> str:
+    return f"strftime({x}, '%Y-%m-%d %H:%M:%S.%g')"
+
+
+_RESULTS = "\nUNION ALL\n".join([
+    _told("fact_sales", "CAST(day AS VARCHAR)", ["sales", tot("cents")]).format("per_day"),
+    _told("dim_store", "dim_store_key", ["store_token", "store_group", "store_name", _stamp("valid_from"),
+          _stamp("valid_to"), "is_current", _stamp("first_seen_ts")]).format("dim"),
+    _told("report_batches", "CAST(batch_date AS VARCHAR)", ["snapshot_date", "total_processed_raw", "total_valid",
+          "total_invalid", "processing_date"]).format("report_batches"),
+    _told("report_daily", "CAST(transaction_date AS VARCHAR)", ["stores_with_tx", "total_sales_amount",
+          "total_sales_avg", "month_accumulated_sales", "top_store_token"]).format("report_daily"),
+    _told("report_topk", "CAST(transaction_date AS VARCHAR) || '|' || CAST(top_rank_id AS VARCHAR)",
+          ["store_total_sales", "store_token", "store_name"]).format("report_topk"),
+])
+_LOADED = "SELECT file_name, batch_date, count(*) AS n FROM raw GROUP BY ALL"
+
 ORACLE_SQL: dict[str, str] = {
+    "ingest_sales_roundtrip": f"WITH {delivered(True)}\nSELECT {_SALES_RAW} FROM raw",
+    "ingest_summary": f"""WITH {delivered(True)},
+files AS ({_LOADED}),
+steps AS (SELECT unnest(['first', 'second', 'log']) AS step)
+SELECT step, file_name, 'sales' AS file_type, batch_date, CASE step WHEN 'second' THEN 'SKIPPED' ELSE 'LOADED' END AS status,
+       CASE step WHEN 'second' THEN 'already processed (filename)' END AS reason,
+       CASE step WHEN 'second' THEN 0 ELSE n END AS row_count
+FROM files, steps""",
+    "daily_run_two_deliveries": f"""WITH {delivered(False)},
+{PARSED},
+{DELIVERED_FACT},
+{DELIVERED_STORES},
+{DIM},
+{PER_STORE},
+{REPORT_BATCHES},
+{REPORT_DAILY},
+{REPORT_TOPK}
+{_RESULTS}""",
     "amount_clean": f"""WITH {RAW}
 SELECT store_token, transaction_id, load_ts, amount AS amount_raw,
        try_cast(replace(amount, '$', '') AS DECIMAL(11,2)) AS amount
@@ -303,70 +377,42 @@ UNION ALL SELECT 'stores_clean', coalesce(max(load_ts), {EPOCH}) FROM clean_all
 UNION ALL SELECT 'empty_slice', coalesce(max(load_ts), {EPOCH}) FROM valid
   WHERE load_ts > (SELECT max(load_ts) FROM valid)""",
     "dim_scd2_initial": f"WITH {RAW_STORES},\n{DIM1}\nSELECT * FROM dim1",
-    "dim_changes": f"WITH {RAW_STORES},\n{DIM1},\n{changes('clean_all')}\nSELECT store_token, change_status FROM changes",
+    "dim_changes": f"""WITH {RAW_STORES},
+{DIM1},
+newest AS ({latest_stores('clean_all')})
+SELECT store_token, CASE count(DISTINCT held) WHEN 1 THEN 'NEW' ELSE
+         CASE count(DISTINCT (store_group, store_name)) WHEN 1 THEN 'SAME' ELSE 'CHANGED' END END AS change_status
+FROM (SELECT store_token, store_group, store_name, false AS held FROM newest
+      UNION ALL SELECT store_token, store_group, store_name, true FROM dim1 WHERE is_current)
+GROUP BY store_token HAVING bool_or(NOT held)""",
     "dim_scd2_apply": f"WITH {RAW_STORES},\n{DIM}\nSELECT * FROM dim",
     "dim_current": f"WITH {RAW_STORES},\n{DIM}\nSELECT * FROM dim WHERE is_current",
-    "report_batches": f"""{SALES_FACT},
-batch_dates AS (
-  SELECT DISTINCT batch_date FROM raw QUALIFY dense_rank() OVER (ORDER BY batch_date DESC) <= 40
-),
-raw_counts AS (SELECT batch_date, count(*) AS total_raw FROM raw GROUP BY 1),
-valid_counts AS (SELECT batch_date, count(*) AS total_valid FROM fact GROUP BY 1),
-invalid_counts AS (SELECT batch_date, count(*) AS total_invalid FROM rejected GROUP BY 1),
-processing_dates AS (SELECT batch_date, CAST(max(load_ts) AS DATE) AS processing_date FROM raw GROUP BY 1)
-SELECT {SNAP} AS snapshot_date, b.batch_date,
-       CAST(coalesce(r.total_raw, 0) AS BIGINT) AS total_processed_raw,
-       CAST(coalesce(v.total_valid, 0) AS BIGINT) AS total_valid,
-       CAST(coalesce(i.total_invalid, 0) AS BIGINT) AS total_invalid,
-       coalesce(p.processing_date, {SNAP}) AS processing_date
-FROM batch_dates b
-LEFT JOIN raw_counts r ON r.batch_date = b.batch_date
-LEFT JOIN valid_counts v ON v.batch_date = b.batch_date
-LEFT JOIN invalid_counts i ON i.batch_date = b.batch_date
-LEFT JOIN processing_dates p ON p.batch_date = b.batch_date""",
-    "report_daily": f"{SALES_FACT},\n{FBD},\n{REPORT_DAILY}\nSELECT * FROM report_daily",
+    "report_batches": f"{SALES_FACT},\n{REPORT_BATCHES}\nSELECT * FROM report_batches",
+    "report_daily": f"{SALES_FACT},\n{PER_STORE},\n{REPORT_DAILY}\nSELECT * FROM report_daily",
     "mtd_running_total": f"""{SALES_FACT},
-{FBD}
-SELECT dm.transaction_date, {tot('dm.day_cents')} AS total_sales_amount,
-       {tot('mrt.mtd_cents')} AS month_accumulated_sales
-FROM dm JOIN mrt ON mrt.transaction_date = dm.transaction_date""",
+{PER_STORE}
+SELECT d.day AS transaction_date, {tot('d.cents')} AS total_sales_amount,
+       {tot(month_so_far('d'))} AS month_accumulated_sales
+FROM per_day d""",
     "top_store_per_day": f"""{SALES_FACT},
-{FBD}
-SELECT transaction_date, store_token AS top_store_token, {tot('st')} AS top_store_total FROM (
-  SELECT transaction_date, store_token, sum(cents) AS st,
-         row_number() OVER (PARTITION BY transaction_date ORDER BY sum(cents) DESC, store_token ASC) AS rn
-  FROM fbd GROUP BY 1, 2) x
-WHERE rn = 1""",
-    "last_n_dates": f"{SALES_FACT},\n{FBD},\n{last_dates('last40', 40)}\nSELECT transaction_date FROM last40",
-    "report_topk": f"{SALES_FACT},\n{RAW_STORES},\n{DIM},\n{FBD},\n{REPORT_TOPK}\nSELECT * FROM report_topk",
+{PER_STORE}
+SELECT day AS transaction_date, best_store AS top_store_token, {tot('best_cents')} AS top_store_total FROM per_day""",
+    "last_n_dates": f"{SALES_FACT},\n{PER_STORE}\nSELECT day AS transaction_date FROM per_day WHERE day IN {newest_days(40)}",
+    "report_topk": f"{SALES_FACT},\n{RAW_STORES},\n{DIM},\n{PER_STORE},\n{REPORT_TOPK}\nSELECT * FROM report_topk",
     "file_manifest": f"WITH {RAW},\n{MANIFEST}\nSELECT * FROM manifest",
     "pending_files": f"""WITH {RAW},
 {MANIFEST}
-SELECT m.* FROM manifest m WHERE NOT EXISTS (
-  SELECT 1 FROM prior p WHERE p.file_type = m.file_type AND p.batch_date = m.batch_date AND p.file_name = m.file_name)""",
+SELECT file_type, batch_date, file_name, row_count FROM tagged WHERE NOT logged""",
     "ingestion_log": f"""WITH {RAW},
-{MANIFEST},
-prior_log AS (
-  SELECT CAST(row_number() OVER (ORDER BY file_name, file_type) AS BIGINT) AS file_id, file_type, batch_date,
-         file_name, file_name AS content_hash, row_count, 'LOADED' AS status,
-         {_ts(catalog.PRIOR_LOG_TS)} AS loaded_at
-  FROM prior
-),
-pend AS (
-  SELECT m.* FROM manifest m WHERE NOT EXISTS (
-    SELECT 1 FROM prior_log p WHERE p.status = 'LOADED' AND p.file_type = m.file_type
-      AND p.batch_date = m.batch_date AND p.file_name = m.file_name)
-)
-SELECT * FROM prior_log
-UNION ALL
-SELECT CAST((SELECT coalesce(max(file_id), 0) FROM prior_log) + row_number() OVER (ORDER BY file_name, file_type)
-            AS BIGINT),
-       file_type, batch_date, file_name, file_name, row_count, 'LOADED', {_ts(catalog.RUN_LOG_TS)}
-FROM pend""",
+{MANIFEST}
+SELECT epoch_ms(loaded_at) * 1000000 + file_order AS file_id, file_type, batch_date, file_name,
+       file_name AS content_hash, row_count, 'LOADED' AS status, loaded_at
+FROM (SELECT *, CASE WHEN logged THEN {_ts(catalog.PRIOR_LOG_TS)} ELSE {_ts(catalog.RUN_LOG_TS)} END AS loaded_at FROM tagged)""",
     "check_not_null": f"""{SALES_FACT},
 {RAW_STORES},
 {DIM},
-{FBD},
+{PER_STORE},
+{REPORT_BATCHES},
 {REPORT_DAILY},
 {REPORT_TOPK}
 {_not_null_sql('fact_sales', 'fact')}
@@ -375,6 +421,8 @@ UNION ALL
 UNION ALL
 {_not_null_sql('sales_rejected', 'rejected')}
 UNION ALL
+{_not_null_sql('report_batches', 'report_batches')}
+UNION ALL
 {_not_null_sql('report_daily', 'report_daily')}
 UNION ALL
 {_not_null_sql('report_topk', 'report_topk')}""",

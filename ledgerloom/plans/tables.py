@@ -74,6 +74,15 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first partition level, from a listing of its folders."""
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [f.getName() for f in jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))]
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{column}="))
+
+
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):

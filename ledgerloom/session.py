@@ -25,13 +25,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "16g"))
-        # Whole-stage generated methods of the wide parse projections exceed the JVM's
-        # 8000-byte JIT limit and would stay interpreted; on a cluster set the same flag
-        # in spark.executor.extraJavaOptions.
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
-        # One JVM: listing a date-partitioned table through a distributed job (one task
-        # per folder) costs seconds; on a cluster the default (32) stays in force.
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
         # Small inputs: split files at 32 MB so a single mid-sized file still uses all cores.
         .config("spark.sql.files.maxPartitionBytes", os.environ.get("LEDGERLOOM_MAX_PARTITION_BYTES", "32m"))
     )
@@ -43,19 +36,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset (a test on a laptop)
-    a fresh local folder is chosen and registered, so lineage cuts and scratch tables
-    still have somewhere to go.
+    The setting is read from the session. Where it is unset, a session of one process (a
+    test on a laptop) gets a fresh local folder; a cluster session is refused, as its
+    executors could not see a folder of the driver's machine.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    if not conf_dir:
-        conf_dir = sc.getCheckpointDir()
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(conf_dir)
-    return conf_dir.rstrip("/")
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

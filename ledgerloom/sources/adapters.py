@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,28 +38,7 @@ TABLES = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; spread over the cores when its file yields too few splits.
-
-    Parquet cannot split inside a row group, so a file written as one row group is
-    one task however large it is. When the scan has fewer than half as many splits
-    as the session has cores (a source of at most a few row groups, so small), the rows
-    are dealt round-robin over all cores before the CPU-heavy projections; a real
-    100 TB source has thousands of splits and is left as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        return df
-    if splits * 2 < cores:
-        # Kept (memory, then disk): without this barrier Catalyst pushes the parse
-        # filters below the round-robin exchange, back into the single scan task. The
-        # cache manager matches the plan, so later queries reuse the spread copy; a
-        # lost block is recomputed from the file (round-robin is sorted first, hence
-        # deterministic).
-        df = df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _event_time(li: DataFrame) -> Column:
@@ -70,8 +48,9 @@ def _event_time(li: DataFrame) -> Column:
     )
 
 
-def raw_sales(lineitem: DataFrame) -> DataFrame:
-    """bronze.sales_raw shape: six all-string fields plus batch_date, file_name, load_ts."""
+def raw_sales(lineitem: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """bronze.sales_raw shape: six all-string fields plus batch_date, file_name, load_ts (and
+    the columns of lineitem to keep)."""
     li = lineitem
     pk, ok = li.l_partkey, li.l_orderkey
     ts = _event_time(li)
@@ -97,6 +76,7 @@ def raw_sales(lineitem: DataFrame) -> DataFrame:
         batch_date.alias("batch_date"),
         F.concat(F.lit("sales_"), F.date_format(batch_date, "yyyyMMdd"), F.lit(".csv")).alias("file_name"),
         (batch_date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), li.l_linenumber)).alias("load_ts"),
+        *[li[c] for c in keep or ()],
     )
 
 

@@ -6,18 +6,14 @@ same path as the batch ingest: manifest of the batch's files, the LOADED-log gat
 header detection and positional parse, append to bronze, one log row per file.
 ``trigger(availableNow=True)`` turns it into a scheduled incremental job.
 
-Limits: the file source does not list empty files (they get no log row), and a batch
-that fails after its bronze append but before the log append is replayed and appended
-again; the fact's latest-wins dedup absorbs such copies, the raw counts of report 1 do
-not.
+A batch that fails before its log row leaves nothing visible and is loaded again when the
+stream replays it; one that fails after it is skipped by the gate. Limit: the file source
+does not list empty files, so they get no log row.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.plans import tables
@@ -27,32 +23,16 @@ from ledgerloom.sources import csv_inbox
 def _load_batch(bronze_root: str):
     def load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        lines = csv_inbox.with_positions(batch)
-        names = sorted(r.file_name for r in lines.select("file_name").distinct().collect())  # one row per file
-        names = [n for n in names if n.startswith(("stores_", "sales_"))]
+        files = batch.select("file_name").distinct().where("file_name like 'stores!_%' escape '!' or file_name like 'sales!_%' escape '!'")
+        names = sorted(r.file_name for r in files.collect())  # one row per file of the batch
         if not names:
             return
-        log_path = f"{bronze_root}/ingestion_log"
-        log = tables.read_or_none(spark, log_path)
-        csv_inbox.discard_unlogged(spark, bronze_root, log)
-        run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        newest = csv_inbox._newest_load_ts(spark, bronze_root)
-        if newest is not None and run_ts <= newest:
-            run_ts = newest + _dt.timedelta(milliseconds=1)
-        m = csv_inbox.manifest(spark, names, run_ts)
-        csv_inbox.check_dated(m)
-        todo = csv_inbox.pending(m, log)
-        todo_rows = todo.select("file_name", "file_type").collect()
-        counts = None
-        for feed in ("stores", "sales"):
-            feed_names = [r.file_name for r in todo_rows if r.file_type == feed]
-            if not feed_names:
-                continue
-            feed_lines = lines.where(F.col("file_name").isin(feed_names))
-            c = csv_inbox.load_feed(feed_lines, todo.where(F.col("file_type") == feed), feed, bronze_root)
-            counts = c if counts is None else counts.unionByName(c)
-        if counts is not None:
-            csv_inbox.write_log_rows(log, counts, m, run_ts, log_path)
+
+        def read(feed: str, todo: DataFrame) -> DataFrame:
+            return csv_inbox.records(batch.join(todo.select("file_name"), "file_name", "left_semi"), feed)
+
+        log = tables.read_or_none(spark, f"{bronze_root}/ingestion_log")
+        csv_inbox.load_files(spark, names, bronze_root, log, None, read)
 
     return load
 

@@ -22,9 +22,6 @@ def test_upsert_semantics(spark):
     # b replaced, c inserted twice (no match), NULL keys never match
     assert sorted(map(tuple, got), key=repr) == sorted(
         [("a", 1), ("b", 20), ("c", 30), ("c", 31), (None, 3), (None, 40)], key=repr)
-    # same answer on the shuffle path
-    got2 = merge.upsert(target, updates, ["k"], broadcast_max_rows=0).collect()
-    assert sorted(map(tuple, got2), key=repr) == sorted(map(tuple, got), key=repr)
 
 
 def test_latest_wins_prefers_arrival_over_event_time(spark):
@@ -134,9 +131,8 @@ def test_single_pass_checks_match_separate_ones(spark):
     rows = [("a", "1", 1), ("a", "1", None), (None, "2", 2), (None, "2", 3), ("b", None, None), ("c", "3", 4)]
     df = spark.createDataFrame(rows, "store_token string, transaction_id string, amount int")
     df = df.withColumn("transaction_time", F.col("amount"))
-    cols = ("store_token", "transaction_id", "amount", "transaction_time")
-    one = {(r.check_name, r.column_name): r.failures
-           for r in checks.table_failures(df, "fact_sales", cols, ("store_token", "transaction_id")).collect()}
+    cols = checks.NOT_NULL["fact_sales"]
+    one = {(r.check_name, r.column_name): r.failures for r in checks.run_checks({"fact_sales": df}).collect()}
     sep = {(r.check_name, r.column_name): r.failures
            for r in checks.not_null_failures(df, "fact_sales", cols).unionByName(
                checks.unique_failures(df, "fact_sales", ("store_token", "transaction_id"))).collect()}
