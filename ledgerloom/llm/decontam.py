@@ -107,28 +107,32 @@ class Index:
         for size, own, prints, tables in self.classes:
             step = max(1, size // 8)
             # windows may reach into the next text: the check stays within one
-            starts = np.arange(0, max(1, n - size + 1), step)
-            if starts[-1] + size < n:
-                starts = np.append(starts, n - size)
-            starts = np.append(starts, doc_starts[1:] - size)  # flush with each text's end
-            starts = np.unique(np.clip(starts, 0, None))
-            for lo in range(0, len(starts), 1 << 15):
-                at = starts[lo : lo + (1 << 15)]
-                fp = _fingerprints(sums[np.minimum(at + size, n) - 1] - sums[at]) if size > 1 else words[at]
-                sets = tables[0][fp & np.uint64(0xFFFF)]
-                for b in range(1, BLOCKS):
-                    sets = sets | tables[b][fp >> np.uint64(BLOCK_BITS * b) & np.uint64(0xFFFF)]
-                hit = np.flatnonzero(sets)
-                if not len(hit):
-                    continue
-                sets, fp, at = sets[hit], fp[hit], at[hit]
-                for k, item in enumerate(own):
-                    rows = np.flatnonzero(sets >> np.uint64(k) & np.uint64(1))
-                    rows = rows[np.bitwise_count(fp[rows] ^ prints[k]) <= RADIUS]
-                    if len(rows):
-                        self.verify(words, doc_starts, at[rows], size, step, int(item), found)
+            grid = np.arange(0, max(1, n - size + 1), step)
+            flush = np.maximum(np.append(doc_starts[1:], n) - size, 0)  # flush with each text's end
+            for lo in range(0, len(grid), 1 << 15):
+                at = grid[lo : lo + (1 << 15)]
+                first, last = int(at[0]), int(at[-1])
+                self.probe(words, doc_starts, at, sums[first : last + 1 : step], sums[min(first + size, n) - 1 : last + size : step], size, own, prints, tables, found)
+            self.probe(words, doc_starts, flush, sums[flush], sums[np.minimum(flush + size, n) - 1], size, own, prints, tables, found)
         return found
 
+    def probe(self, words, doc_starts, at, before, after, size, own, prints, tables, found) -> None:
+        """Windows that start at ``at``, their word pairs lying between two rows of the prefix
+        sums, against one class of items."""
+        fp = _fingerprints(after - before) if size > 1 else words[at]
+        sets = tables[0][fp & np.uint64(0xFFFF)]
+        for b in range(1, BLOCKS):
+            sets |= tables[b][fp >> np.uint64(BLOCK_BITS * b) & np.uint64(0xFFFF)]
+        hit = np.flatnonzero(sets)
+        if not len(hit):
+            return
+        sets, fp = sets[hit], fp[hit]
+        for k, item in enumerate(own):
+            rows = np.flatnonzero(sets & np.uint64(1 << k))
+            rows = rows[np.bitwise_count(fp[rows] ^ prints[k]) <= RADIUS]
+            if len(rows):
+                self.verify(words, doc_starts, at[hit[rows]], size, max(1, size // 8), int(item), found)
+
     def verify(self, words, doc_starts, at, size, step, item, found) -> None:
         """The best similarity of windows of the item's length that start near those given."""
         item_id, own, counts = self.items[item]
