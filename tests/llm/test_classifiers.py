@@ -1,0 +1,171 @@
+"""Toxicity, quality and language: held-out accuracy and edge cases."""
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import LONG, clashing, edge_docs, empty, rows
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from ledgerloom.llm import langid, quality, toxicity
+from ledgerloom.llm.shared import SPACE, span_hashes, text_blocks, word_bounds
+
+
+def tables(spark):
+    return (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+
+
+def fold(doc_id, folds):
+    return zlib.crc32(str(doc_id).encode()) % folds
+
+
+def test_word_kernel_against_split():
+    texts = ["one  two\tTHREE", "", None, " é à\n", "x" * 5000, "one two three " * 700, "É"]
+    for limit in (16, 1 << 20):
+        words = {i: [] for i in range(len(texts))}
+        for block in text_blocks(pa.array(texts), limit):
+            starts, ends, per = word_bounds(block, SPACE)
+            hashes = span_hashes(block.buf, starts, ends)
+            for k, row in enumerate(block.rows):
+                for j in range(per[k], per[k + 1]):
+                    words[row].append((block.buf[starts[j] : ends[j]].tobytes().decode(), int(hashes[j])))
+        assert [[w for w, _ in words[i]] for i in range(len(texts))] == [(t or "").split() for t in texts]
+        by_hash = {}
+        for w, h in (x for v in words.values() for x in v):
+            by_hash.setdefault(h, set()).add("".join(c.lower() if c.isascii() else c for c in w))
+        assert all(len(v) == 1 for v in by_hash.values())
+
+
+def test_gradients_against_differences():
+    """The network's gradients, with respect to its weights and its inputs."""
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(seed=3)
+    for name in ("att",):
+        setattr(model, name, rng.normal(size=getattr(model, name).shape).astype(np.float64))
+    model.w, model.u, model.b = ([x.astype(np.float64) for x in getattr(model, n)] for n in "wub")
+    x = rng.normal(size=(6, toxicity.WORD_DIM + toxicity.CHAR_DIM))
+    index = rng.integers(0, 6, size=(3, 5))
+    index[0, 3:] = 6
+    real = (index < 6).astype(float)
+    aim = rng.normal(size=3)
+    loss = lambda: float(model.forward(model.gates(x), index, real) @ aim)
+    cache = model.forward(model.gates(x), index, real, keep=True)
+    grads, d_gate = model.backward(aim, index, cache, 7)
+    d_gate = [g[:-1] for g in d_gate]
+    pairs = [(model.att, grads["att"]), (model.u[0], grads["u"][0]), (model.u[1], grads["u"][1])]
+    pairs += [(model.w[k], x.T @ d_gate[k]) for k in range(2)] + [(x, sum(g @ w.T for g, w in zip(d_gate, model.w)))]
+    for value, grad in pairs:
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in value.shape)
+            old, eps = value[at], 1e-3
+            value[at] = old + eps
+            up = loss()
+            value[at] = old - eps
+            down = loss()
+            value[at] = old
+            assert grad[at] == pytest.approx((up - down) / (2 * eps), abs=2e-2)
+
+
+def test_windows_cover_every_word():
+    for n in (1, 5, 31, 32, 33, 48, 49, 100, 1000):
+        starts = toxicity._windows(n)
+        seen = {k for s in starts for k in range(s, min(s + toxicity.WINDOW, n))}
+        assert seen == set(range(n)) and all(b - a <= toxicity.STEP for a, b in zip(starts, starts[1:]))
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = tables(spark)
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert all(r.held_out == (fold(d, 3) == 1) and r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for d, r in got.items())
+    test = [(got[r.doc_id].score, r.toxic) for r in labels.collect() if r.toxic is not None and got[r.doc_id].held_out]
+    good, bad = ([s for s, t in test if t == k] for k in (0, 1))
+    assert np.mean([b > g for b in bad for g in good]) > 0.85  # from 30 toxic texts
+    # one toxic passage in a long clean text
+    toxic = max((r for r in labels.collect() if r.toxic == 1), key=lambda r: got[r.doc_id].score)
+    text = docs.where(F.col("doc_id") == toxic.doc_id).first().text
+    alone, within = model.score(pa.array([text, f"{LONG} {text} {LONG}"]))
+    assert within >= alone - 0.05
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns and kept.count() == sum(r.score < 0.7 for r in got.values())
+
+
+def test_toxicity_edge_cases(spark):
+    docs = edge_docs(spark)
+    none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, none) == 0.0 and toxicity.fit(docs, none.where("toxic = 2")) == 0.0
+    model = toxicity.Model()
+    out = toxicity.score(clashing(docs), model).collect()
+    assert len(out) == docs.count() and {r.score for r in out if r.doc_id in (3, 4, 5)} == {0.0}
+    assert rows(toxicity.score(empty(docs), model)) == []
+    assert toxicity.score(docs, 1.0).where("predicted = 1").count() == docs.count()
+
+
+def test_quality_held_out(spark):
+    docs, labels = tables(spark)
+    rated = labels.select("doc_id", quality.rating().alias("grade"))
+    model = quality.fit(docs, rated.where("doc_id % 2 = 0"))
+    assert list(model.thresholds()) == sorted(model.thresholds())
+    grade = {r.doc_id: r.grade for r in rated.where("doc_id % 2 = 1").collect()}
+    test = [(grade[r.doc_id], r) for r in quality.classify(docs, model).collect() if r.doc_id in grade]
+    assert all(r.tails == sorted(r.tails, reverse=True) and abs(sum(r.tails) - r.expected_grade) < 1e-9 for _, r in test)
+    low, high = ([r.expected_grade for g, r in test if (g > 0) == k] for k in (False, True))
+    assert np.mean([h > x for h in high for x in low]) > 0.9
+    assert np.mean([r.selected == (g > 0) for g, r in test]) > 0.9
+
+
+def test_quality_edge_cases(spark):
+    docs = edge_docs(spark)
+    model = quality.fit(docs, spark.createDataFrame([(1, 0), (6, 2), (None, 1), (3, 1), (1, 2), (7, 9), (8, None)], "doc_id long, grade int"))
+    out = quality.classify(clashing(docs), model)
+    assert out.count() == docs.count() and rows(quality.classify(empty(docs), model)) == []
+    none = quality.fit(docs, spark.createDataFrame([], "doc_id long, grade int"))
+    assert not none.weights.any()
+
+
+def test_language_held_out(spark):
+    docs, _ = tables(spark)
+    out = {r.doc_id: r for r in langid.identify(docs, langid.fit(docs)).collect()}
+    test = [(r.lang, out[r.doc_id].lang_pred) for r in docs.collect() if out[r.doc_id].held_out]
+    assert len(test) > 100 and np.mean([a == b for a, b in test]) > 0.97
+    assert all(r.held_out == (fold(d, 4) == 2) for d, r in out.items())
+
+
+def test_language_mixture(spark):
+    docs, _ = tables(spark)
+    model = langid.fit(docs)
+    by = {lang: " ".join(r.text for r in docs.where(F.col("lang") == lang).limit(4).collect()) for lang in model.langs}
+    mixed = [(k, f"{by[a][:3000]} {by[b][:1000]}", a, b) for k, (a, b) in enumerate((a, b) for a in by for b in by if a != b)]
+    got = langid.identify(spark.createDataFrame([m[:2] for m in mixed], "doc_id long, text string"), model).collect()
+    for (_, _, a, b), r in zip(mixed, sorted(got, key=lambda r: r.doc_id)):
+        assert r.lang_pred == a and set(r.proportions) == {a, b}
+        assert abs(r.proportions[a] - 0.75) < 0.1
+
+
+def test_em_against_a_plain_loop():
+    rng = np.random.default_rng(4)
+    logs = rng.normal(size=(40, 3)) * 3
+    text = np.sort(rng.integers(0, 5, size=40))
+    edges = np.flatnonzero(np.r_[True, np.diff(text) > 0])
+    like = np.exp(logs)
+    share, fit = langid._em(like, edges, np.repeat(np.arange(len(edges)), np.diff(np.append(edges, 40))), np.full((len(edges), 3), 1 / 3))
+    for k, t in enumerate(np.unique(text)):
+        own, pi = like[text == t], np.full(3, 1 / 3)
+        for _ in range(langid.STEPS):
+            r = own * pi
+            pi = (r / r.sum(axis=1, keepdims=True)).mean(axis=0)
+        assert share[k] == pytest.approx(pi) and fit[k] == pytest.approx(np.log((own * pi).sum(axis=1)).sum())
+
+
+def test_language_edge_cases(spark):
+    docs = edge_docs(spark)
+    model = langid.fit(docs)
+    out = langid.identify(clashing(docs), model)
+    by = {r.doc_id: r for r in out.collect()}
+    assert out.count() == docs.count()
+    assert {by[k].lang_pred for k in (3, 4, 5, 8)} == {"und"} and {by[k].score for k in (3, 4, 5, 8)} == {0.0}
+    assert rows(langid.identify(empty(docs), model)) == []
+    nothing = langid.identify(docs, langid.fit(empty(docs)))
+    assert {r.lang_pred for r in nothing.collect()} == {"und"}
