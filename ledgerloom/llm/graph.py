@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import materialise
+from ledgerloom.llm.shared import discard, materialise
 
 MAX_ROUNDS = 60
 
@@ -44,5 +44,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = met.select("hi", F.col("m").alias("lo")).unionByName(
             met.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         )
-        now = materialise(small.distinct(), "edges")
+        before, now = now, materialise(small.distinct(), "edges")
+        discard(before)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

@@ -11,7 +11,7 @@ one of their nearest pivots (a bounded sample), and random groups, split into bl
 A centre of more than BLOCK members is split likewise, so that no group grows with the data.
 
 Search: a query starts at its own node, whose neighbours are scored exactly; each round expands
-the unexpanded nodes among its BEAM best along the edges of the graph in both directions, until none is left.
+the unexpanded nodes among its BEAM best along the edges of the graph, until hardly any is left.
 """
 
 from __future__ import annotations
@@ -24,17 +24,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import materialise
+from ledgerloom.llm.shared import discard, materialise
 
-K = 24
-ROUNDS = 4
+K = 32
+ROUNDS = 2
 #: Share of all edges that a round has to renew for another round to follow.
 SETTLED = 0.01
-BLOCK = 96
+BLOCK = 1024
 PIVOTS = 1024
-PIVOTS_EACH = 2
-BEAM = 32
+PIVOTS_EACH = 8
+BEAM = 112
 SEARCH_ROUNDS = 8
+#: Members of a random group.
+LOOSE = 64
+#: Nodes of a query whose inner products are taken on the original vectors, of those that are
+#: best by rounded ones.
+EXACT = 64
+#: The search ends when fewer nodes than this share of all beams are left to expand.
+DONE = 0.01
 TOP = 20
 #: Queries held against all nodes at a time, where the graph gave too few.
 QUERY_BLOCK = 1024
@@ -62,9 +69,9 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
 _EDGE = "u long, v long, sim float"
 
 
-def _join_groups(groups: DataFrame) -> DataFrame:
-    """``(u, v, sim)`` both ways for the pairs in ``groups(m array<struct<id, vec, least, fresh>>)``
-    of which one is fresh and which are nearer than the farther end's K-th neighbour so far."""
+def _join_groups(groups: DataFrame, k: int = K) -> DataFrame:
+    """``(u, v, sim)`` for the pairs in ``groups(m array<struct<id, vec, least, fresh>>)`` of which
+    one is fresh: of each member u its k nearest, if nearer than its k-th neighbour so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -92,8 +99,14 @@ def _join_groups(groups: DataFrame) -> DataFrame:
                 x, i = vecs[lo:hi], ids[lo:hi]
                 # the same bits for a pair wherever it meets: equal pairs collapse later
                 sims = np.round(x @ x.T, 5)
-                ok = (fresh[lo:hi, None] | fresh[None, lo:hi]) & (i[:, None] != i[None, :]) & (sims > least[lo:hi, None])
-                a, c = np.nonzero(ok)
+                new = fresh[lo:hi]
+                if not new.all():
+                    sims[np.ix_(~new, ~new)] = -9
+                sims[i[:, None] == i[None, :]] = -9
+                floor = least[lo:hi]
+                if hi - lo > k:
+                    floor = np.maximum(floor, -np.partition(-sims, k - 1, axis=1)[:, k - 1] - 1e-6)
+                a, c = np.nonzero(sims > np.maximum(floor, -3)[:, None])
                 for column, values in zip(out, (i[a], i[c], sims[a, c]), strict=True):
                     column.append(values)
                 held += len(a)
@@ -148,7 +161,7 @@ def _start(nodes: DataFrame) -> DataFrame:
 
     cells = nodes.select("id", "ext").mapInArrow(near, "id long, key long")
     total = nodes.count()
-    loose = nodes.select("id", (F.pmod(F.xxhash64("id"), F.lit(-(-total // (BLOCK // 2)))) - total - 1).alias("key"))
+    loose = nodes.select("id", (F.pmod(F.xxhash64("id"), F.lit(-(-total // LOOSE))) - total - 1).alias("key"))
     member = cells.unionByName(loose).join(nodes.select("id", F.col("ext").alias("vec")), "id")
     member = member.withColumn("least", F.lit(-2.0).cast("float")).withColumn("fresh", F.lit(True))
     return _join_groups(_blocks(member, "key", 0))
@@ -172,36 +185,72 @@ def graph(nodes: DataFrame, k: int = K, rounds: int = ROUNDS) -> DataFrame:
         around = around.groupBy("centre", "id").agg(F.max("fresh").alias("fresh"))
         found = _join_groups(_blocks(around.join(known, "id"), "centre", salt)).withColumn("old", F.lit(False))
         both = now.select("u", "v", "sim", F.lit(True).alias("old")).unionByName(found)
-        now = materialise(_best(both, k), "graph")
+        was, now = now, materialise(_best(both, k), "graph")
+        discard(was)
     return now
 
 
+def _rounded(vec: Column) -> Column:
+    """The vector in bytes: each component as a share of 127 of the largest, and that scale."""
+    top = F.array_max(F.transform(vec, lambda v: F.abs(v.cast("double"))))
+    steps = F.transform(vec, lambda v: F.round(v.cast("double") * 127 / top).cast("tinyint"))
+    return F.struct(steps.alias("steps"), (top / 127).cast("float").alias("unit"))
+
+
+def _near(pairs: DataFrame) -> DataFrame:
+    """``(q, v, score)`` of ``pairs(q, v, a, b)`` by the rounded vectors a and b."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 8192):
+                part = batch.slice(lo, 8192)
+                sides = []
+                for side in (part.column(2), part.column(3)):
+                    steps, unit = side.flatten()
+                    sides.append(_matrix(steps).astype(np.float32) * unit.to_numpy(zero_copy_only=False)[:, None])
+                score = np.einsum("nd,nd->n", *sides)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score.astype(np.float32))], ["q", "v", "score"])
+
+    return pairs.select("q", "v", "a", "b").mapInArrow(run, "q long, v long, score float")
+
+
 def search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, top: int = TOP + 1, beam: int = BEAM) -> DataFrame:
     """``(q, v, score)``: the nodes found for each node q of ``queries(q)``, itself among them.
-    Scores are exact, by the original vectors."""
-    links = materialise(
-        edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links"
-    )
-    vecs = nodes.select("id", "vec")
-    asked = queries.join(vecs, queries["q"] == vecs["id"]).select("q", F.col("vec").alias("qvec"))
+    The walk goes by rounded vectors (a quarter of the bytes); the EXACT best (or twice ``top``,
+    if more) are scored by the original vectors."""
+    links = edges.select(F.col("u").alias("at"), F.col("v").alias("to"))
+    small = materialise(nodes.select("id", _rounded(F.col("vec")).alias("b")), "rounded")
+    asked = materialise(queries.join(small, queries["q"] == small["id"]).select("q", F.col("b").alias("a")), "asked")
+    asked_for = asked.count()
 
     def scored(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(vecs.withColumnRenamed("id", "v"), "v").join(asked, "q")
-        return met.select("q", "v", _dot(F.col("qvec"), F.col("vec")).alias("score"), F.lit(False).alias("done"))
+        met = pairs.join(small.withColumnRenamed("id", "v"), "v").join(asked, "q")
+        return _near(met).withColumn("done", F.lit(False))
 
     seen = materialise(scored(queries.select("q", F.col("q").alias("v"))), "search")
     order = W.partitionBy("q").orderBy(F.desc("score"), "v")
+    # the start is always expanded, however near others are
+    mine = F.col("q") == F.col("v")
     for _ in range(SEARCH_ROUNDS):
-        ranked = seen.withColumn("r", F.row_number().over(order))
-        # the start is always expanded, however near others are
-        front = ranked.where(~F.col("done") & ((F.col("r") <= beam) | (F.col("q") == F.col("v")))).select("q", "v")
-        if front.isEmpty():
+        ranked = seen.withColumn("turn", ~F.col("done") & ((F.row_number().over(order) <= beam) | mine))
+        ranked = materialise(ranked, "ranked")
+        discard(seen)
+        front = ranked.where("turn").select("q", F.col("v").alias("at"))
+        if front.count() <= DONE * beam * asked_for:
+            seen = ranked
             break
-        reached = front.join(links.withColumnRenamed("u", "at").withColumnRenamed("v", "to"), F.col("v") == F.col("at"))
-        fresh = reached.select("q", F.col("to").alias("v")).distinct().join(seen.select("q", "v"), ["q", "v"], "left_anti")
-        expanded = ranked.withColumn("done", F.col("done") | (F.col("r") <= beam) | (F.col("q") == F.col("v"))).drop("r")
-        seen = materialise(expanded.unionByName(scored(fresh)), "search")
-    return seen.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max(top, beam)).select("q", "v", "score")
+        reached = front.join(links, "at").select("q", F.col("to").alias("v"), F.lit(None).cast("float").alias("score"))
+        known = ranked.select("q", "v", "score", (F.col("done") | F.col("turn")).alias("done"))
+        # one row per pair: what is known keeps its score, the rest has none yet
+        both = known.unionByName(reached.withColumn("done", F.lit(False))).groupBy("q", "v").agg(F.max("score").alias("score"), F.max("done").alias("done"))
+        both = materialise(both, "reached")
+        seen = materialise(both.where("score is not null").unionByName(scored(both.where("score is null").select("q", "v"))), "search")
+        discard(ranked, both)
+    best = seen.withColumn("r", F.row_number().over(order)).where((F.col("r") <= max(EXACT, 2 * top)) | mine).select("q", "v")
+    vecs = nodes.select("id", "vec")
+    met = best.join(vecs.withColumnRenamed("id", "q").withColumnRenamed("vec", "qvec"), "q").join(vecs.withColumnRenamed("id", "v"), "v")
+    exact = met.select("q", "v", _dot(F.col("qvec"), F.col("vec")).alias("score"))
+    return materialise(exact.withColumn("r", F.row_number().over(order)).where(F.col("r") <= top).drop("r"), "found")
 
 
 def brute_force(nodes: DataFrame, queries: DataFrame, top: int) -> DataFrame:

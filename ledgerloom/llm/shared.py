@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.plans.tables import delete
 from ledgerloom.session import scratch_path
 
 BLOCK_BYTES = 1 << 20
@@ -47,7 +48,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     lost executor repeats only what follows, and the rows stay the same on every read."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables of ``materialise`` that nothing will read again."""
+    for df in written:
+        delete(df.sparkSession, df.scratch)
 
 
 def text_hash(col: str = "text"):
