@@ -208,7 +208,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             best = share.argmax(axis=1)
             top = share[np.arange(len(best)), best]
             letters = b.column(3).to_numpy(zero_copy_only=False).astype(bool)
-            ok = letters & (top > 0)
+            ok = letters & (top > 0) & bool(model.langs)
             names = [model.langs[k] if good else "und" for k, good in zip(best, ok, strict=True)]
             maps = [[(model.langs[k], float(row[k])) for k in np.flatnonzero(row > 0.005)] if good else [] for row, good in zip(share, ok, strict=True)]
             yield pa.RecordBatch.from_arrays(

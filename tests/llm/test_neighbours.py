@@ -59,7 +59,7 @@ def test_unequal_lengths_copies_and_noise(spark):
     want = brute(data, lambda i: i % 20 == 0, 20)
     assert recall(found, want) >= 0.9
     check_scores(found, data)
-    assert found[620] == [(i, s) for i, s in want[620]]
+    assert [i for i, _ in found[620]] == [i for i, _ in want[620]]
 
 
 def test_edge_cases(spark):
