@@ -48,3 +48,41 @@ def test_dedup_limits_before_the_shuffle(spark):
         "last_load_ts", "load_ts")))
     first_exchange = plan.index("Exchange")
     assert "WindowGroupLimit" in plan[first_exchange:]
+
+
+def test_driver_tables_are_scanned_as_they_are(spark):
+    from conftest import SF001
+    from ledgerloom.plans.catalog import QUERIES
+
+    for name in ("amount_clean", "sales_valid", "null_tokens"):
+        plan = _plan(QUERIES[name](spark, SF001))
+        assert "InMemoryTableScan" not in plan and "RoundRobin" not in plan
+        assert plan.count("FileScan parquet") == 1
+
+
+def test_dimension_is_applied_in_one_pass(spark):
+    from conftest import SF001
+    from ledgerloom.plans.catalog import QUERIES
+
+    df = QUERIES["dim_scd2_apply"](spark, SF001)
+    # the dimension's rows, and the two deliveries
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 3
+
+
+def test_reports_prune_the_fact_by_partition(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    day = F.col("transaction_time").cast("date")
+    _fact(spark).withColumn("transaction_date", day).write.partitionBy("transaction_date").parquet(path)
+    fact = spark.read.parquet(path)
+    days = [dt.date(2024, 1, d) for d in range(1, 29)]
+    out = reports.report_topk(fact, spark.createDataFrame([], "store_token string, store_name string, is_current boolean"), 3, dates=days)
+    scan = _plan(out).split("PartitionFilters: [")[1].split("]")[0]
+    assert "transaction_date" in scan
+    assert {r.transaction_date for r in out.collect()} == set(days[-3:])
+
+
+def test_no_window_over_a_whole_table_in_the_log(spark):
+    from conftest import SF001
+    from ledgerloom.plans.catalog import QUERIES
+
+    assert "Window" not in _plan(QUERIES["ingestion_log"](spark, SF001))
