@@ -40,8 +40,8 @@ LOOSE = 64
 #: Nodes of a query whose inner products are taken on the original vectors, of those that are
 #: best by rounded ones.
 EXACT = 64
-#: The search ends when fewer nodes than this share of all beams are left to expand.
-DONE = 0.01
+#: The search ends when at most this many nodes a query are left to expand, on average.
+DONE = 0.05
 TOP = 20
 #: Queries held against all nodes at a time, where the graph gave too few.
 QUERY_BLOCK = 1024
@@ -236,7 +236,7 @@ def search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, top: int = TO
         ranked = materialise(ranked, "ranked")
         discard(seen)
         front = ranked.where("turn").select("q", F.col("v").alias("at"))
-        if front.count() <= DONE * beam * asked_for:
+        if front.count() <= DONE * asked_for:
             seen = ranked
             break
         reached = front.join(links, "at").select("q", F.col("to").alias("v"), F.lit(None).cast("float").alias("score"))
