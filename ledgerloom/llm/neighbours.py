@@ -1,17 +1,12 @@
-"""Approximate nearest neighbours by inner product: NN-descent graph, greedy search.
-
-Vectors that are equal collapse into one node first. A node's vector is extended by
-sqrt(M^2 - |x|^2), M being the largest norm, so that all nodes have one length, nearness among
-nodes is a metric, and a query (extended by 0) keeps its inner products.
-
-Graph: every node keeps its K nearest known nodes. A round joins, around each centre, the nodes
-that have it as neighbour and those it has, at least one of each pair new since the last round,
-and keeps the K best for each node. The start are the same joins inside groups: nodes that share
-one of their nearest pivots (a bounded sample), and random groups, split into blocks of BLOCK.
-A centre of more than BLOCK members is split likewise, so that no group grows with the data.
-
-Search: a query starts at its own node, whose neighbours are scored exactly; each round expands
-the unexpanded nodes among its BEAM best along the edges of the graph, until hardly any is left.
+"""Exact nearest neighbours by inner product, in tiles of queries and vectors.
+
+Vectors that are equal collapse into one node first. Every query is held against every node:
+a pass takes as many queries as fit QUERY_CELLS numbers to all tasks, and each task multiplies
+tiles of them with tiles of its nodes, keeps the best of each query seen so far and returns
+those. Matrix products only tell which pairs can be among the best, up to a bound of their
+rounding; what counts are scores summed in one fixed order, so the result does not depend on
+how the nodes are dealt. The work grows with queries times nodes, what is returned with queries
+times tasks; no group of similar vectors is cut.
 """
 
 from __future__ import annotations
@@ -24,33 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import discard, materialise
+from ledgerloom.llm.shared import materialise
 
-K = 32
-ROUNDS = 2
-#: Share of all edges that a round has to renew for another round to follow.
-SETTLED = 0.01
-BLOCK = 1024
-PIVOTS = 1024
-PIVOTS_EACH = 8
-BEAM = 112
-SEARCH_ROUNDS = 8
-#: Members of a random group.
-LOOSE = 64
-#: Nodes of a query whose inner products are taken on the original vectors, of those that are
-#: best by rounded ones.
-EXACT = 64
-#: The search ends when at most this many nodes a query are left to expand, on average.
-DONE = 0.05
 TOP = 20
-#: Queries held against all nodes at a time, where the graph gave too few.
-QUERY_BLOCK = 1024
-
-
-def _dot(x: Column, y: Column) -> Column:
-    """Inner product in double precision, summed from the first component to the last."""
-    products = F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
+#: Queries of a pass, at most, and numbers of their vectors (8 bytes each in every task).
+QUERY_BLOCK = 1 << 16
+QUERY_CELLS = 1 << 22
+#: Queries and nodes of a tile.
+TILE = (512, 4096)
+#: Numbers of the vectors of pairs that are scored at a time.
+PAIR_CELLS = 1 << 21
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -66,253 +44,115 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0), flat.dtype)
 
 
-_EDGE = "u long, v long, sim float"
-
-
-def _join_groups(groups: DataFrame, k: int = K) -> DataFrame:
-    """``(u, v, sim)`` for the pairs in ``groups(m array<struct<id, vec, least, fresh>>)`` of which
-    one is fresh: of each member u its k nearest, if nearer than its k-th neighbour so far."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists = b.column(0)
-            edges = lists.offsets.to_numpy()
-            members = lists.flatten()
-            ids, vecs, least, fresh = (members.field(k) for k in range(4))
-            ids, vecs = ids.to_numpy(), _matrix(vecs).astype(np.float32)
-            least, fresh = least.to_numpy(), fresh.to_numpy(zero_copy_only=False).astype(bool)
-            edges = edges - edges[0]
-            out: list[list[np.ndarray]] = [[], [], []]
-
-            def flush():
-                cols = [np.concatenate(c) if c else np.zeros(0) for c in out]
-                for c in out:
-                    c.clear()
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2].astype(np.float32))], ["u", "v", "sim"]
-                )
-
-            held = 0
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                if hi - lo < 2:
-                    continue
-                x, i = vecs[lo:hi], ids[lo:hi]
-                # the same bits for a pair wherever it meets: equal pairs collapse later
-                sims = np.round(x @ x.T, 5)
-                new = fresh[lo:hi]
-                if not new.all():
-                    sims[np.ix_(~new, ~new)] = -9
-                sims[i[:, None] == i[None, :]] = -9
-                floor = least[lo:hi]
-                if hi - lo > k:
-                    floor = np.maximum(floor, -np.partition(-sims, k - 1, axis=1)[:, k - 1] - 1e-6)
-                a, c = np.nonzero(sims > np.maximum(floor, -3)[:, None])
-                for column, values in zip(out, (i[a], i[c], sims[a, c]), strict=True):
-                    column.append(values)
-                held += len(a)
-                if held > 1 << 17:
-                    yield flush()
-                    held = 0
-            yield flush()
-
-    return groups.select("m").mapInArrow(run, _EDGE)
-
-
-def _blocks(members: DataFrame, key: str, salt: int) -> DataFrame:
-    """Members grouped by key; a group of more than BLOCK is dealt into blocks by a hash."""
-    sizes = members.groupBy(key).agg(F.count("*").alias("n"))
-    dealt = members.join(sizes, key).withColumn("part", F.pmod(F.xxhash64("id", F.lit(salt)), F.ceil(F.col("n") / BLOCK)))
-    return dealt.groupBy(key, "part").agg(F.collect_list(F.struct("id", "vec", "least", "fresh")).alias("m"))
-
-
-def _best(edges: DataFrame, k: int) -> DataFrame:
-    """The k nearest of each u of ``edges(u, v, sim, old)``; ties to the smaller v."""
-    once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
-    order = W.partitionBy("u").orderBy(F.desc("sim"), "v")
-    return once.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
-
-
-def _nodes(rows: DataFrame) -> DataFrame:
-    """``(id, vec, ext)``: a row per distinct vector, under its smallest vec_id, with the vector
-    extended to the common length."""
-    nodes = rows.groupBy("vec").agg(F.min("vec_id").alias("id"))
-    nodes = materialise(nodes.withColumn("norm", _dot(F.col("vec"), F.col("vec"))), "nodes")
-    most = nodes.agg(F.max("norm")).first()[0] or 0.0
-    tail = F.sqrt(F.greatest(F.lit(0.0), F.lit(most) - F.col("norm"))).cast("float")
-    scale = 1 / np.sqrt(most) if most else 1.0  # so that rounding means the same for all data
-    ext = F.concat(F.transform("vec", lambda v: v.cast("float")), F.array(tail))
-    return nodes.select("id", "vec", F.transform(ext, lambda v: (v * F.lit(scale)).cast("float")).alias("ext"))
-
-
-def _start(nodes: DataFrame) -> DataFrame:
-    """Joins of the nodes that share a pivot, and of random groups."""
-    pivots = nodes.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).select("ext").collect()
-    matrix = np.array([r[0] for r in pivots], np.float32)
-    each = min(PIVOTS_EACH, len(matrix))
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 2048):
-                part = b.slice(lo, 2048)
-                sims = _matrix(part.column(1)) @ matrix.T
-                best = np.argpartition(-sims, each - 1, axis=1)[:, :each]
-                ids = part.column(0).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, each)), pa.array(best.ravel().astype(np.int64))], ["id", "key"])
-
-    cells = nodes.select("id", "ext").mapInArrow(near, "id long, key long")
-    total = nodes.count()
-    loose = nodes.select("id", (F.pmod(F.xxhash64("id"), F.lit(-(-total // LOOSE))) - total - 1).alias("key"))
-    member = cells.unionByName(loose).join(nodes.select("id", F.col("ext").alias("vec")), "id")
-    member = member.withColumn("least", F.lit(-2.0).cast("float")).withColumn("fresh", F.lit(True))
-    return _join_groups(_blocks(member, "key", 0))
-
-
-def graph(nodes: DataFrame, k: int = K, rounds: int = ROUNDS) -> DataFrame:
-    """``(u, v, sim, old, r)``: the k nearest known nodes v of each node u."""
-    now = materialise(_best(_start(nodes).withColumn("old", F.lit(False)), k), "graph")
-    vectors = nodes.select("id", F.col("ext").alias("vec"))
-    for salt in range(1, rounds + 1):
-        total, renewed = now.agg(F.count("*"), F.count_if(~F.col("old"))).first()
-        if renewed <= SETTLED * total:
-            break
-        least = now.groupBy("u").agg(F.min("sim").alias("sim"), F.count("*").alias("n"))
-        bound = least.select(F.col("u").alias("id"), F.when(F.col("n") >= k, F.col("sim")).otherwise(-2.0).cast("float").alias("least"))
-        known = vectors.join(bound, "id", "left").withColumn("least", F.coalesce("least", F.lit(-2.0).cast("float")))
-        # a centre's neighbours and the nodes that have it as one
-        around = now.select(F.col("u").alias("centre"), F.col("v").alias("id"), (~F.col("old")).alias("fresh")).unionByName(
-            now.select(F.col("v").alias("centre"), F.col("u").alias("id"), (~F.col("old")).alias("fresh"))
-        )
-        around = around.groupBy("centre", "id").agg(F.max("fresh").alias("fresh"))
-        found = _join_groups(_blocks(around.join(known, "id"), "centre", salt)).withColumn("old", F.lit(False))
-        both = now.select("u", "v", "sim", F.lit(True).alias("old")).unionByName(found)
-        was, now = now, materialise(_best(both, k), "graph")
-        discard(was)
-    return now
-
-
-def _rounded(vec: Column) -> Column:
-    """The vector in bytes: each component as a share of 127 of the largest, and that scale."""
-    top = F.array_max(F.transform(vec, lambda v: F.abs(v.cast("double"))))
-    steps = F.transform(vec, lambda v: F.round(v.cast("double") * 127 / top).cast("tinyint"))
-    return F.struct(steps.alias("steps"), (top / 127).cast("float").alias("unit"))
-
-
-def _near(pairs: DataFrame) -> DataFrame:
-    """``(q, v, score)`` of ``pairs(q, v, a, b)`` by the rounded vectors a and b."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 8192):
-                part = batch.slice(lo, 8192)
-                sides = []
-                for side in (part.column(2), part.column(3)):
-                    steps, unit = side.flatten()
-                    sides.append(_matrix(steps).astype(np.float32) * unit.to_numpy(zero_copy_only=False)[:, None])
-                score = np.einsum("nd,nd->n", *sides)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score.astype(np.float32))], ["q", "v", "score"])
-
-    return pairs.select("q", "v", "a", "b").mapInArrow(run, "q long, v long, score float")
-
-
-def search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, top: int = TOP + 1, beam: int = BEAM) -> DataFrame:
-    """``(q, v, score)``: the nodes found for each node q of ``queries(q)``, itself among them.
-    The walk goes by rounded vectors (a quarter of the bytes); the EXACT best (or twice ``top``,
-    if more) are scored by the original vectors."""
-    links = edges.select(F.col("u").alias("at"), F.col("v").alias("to"))
-    small = materialise(nodes.select("id", _rounded(F.col("vec")).alias("b")), "rounded")
-    asked = materialise(queries.join(small, queries["q"] == small["id"]).select("q", F.col("b").alias("a")), "asked")
-    asked_for = asked.count()
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(small.withColumnRenamed("id", "v"), "v").join(asked, "q")
-        return _near(met).withColumn("done", F.lit(False))
-
-    seen = materialise(scored(queries.select("q", F.col("q").alias("v"))), "search")
-    order = W.partitionBy("q").orderBy(F.desc("score"), "v")
-    # the start is always expanded, however near others are
-    mine = F.col("q") == F.col("v")
-    for _ in range(SEARCH_ROUNDS):
-        ranked = seen.withColumn("turn", ~F.col("done") & ((F.row_number().over(order) <= beam) | mine))
-        ranked = materialise(ranked, "ranked")
-        discard(seen)
-        front = ranked.where("turn").select("q", F.col("v").alias("at"))
-        if front.count() <= DONE * asked_for:
-            seen = ranked
-            break
-        reached = front.join(links, "at").select("q", F.col("to").alias("v"), F.lit(None).cast("float").alias("score"))
-        known = ranked.select("q", "v", "score", (F.col("done") | F.col("turn")).alias("done"))
-        # one row per pair: what is known keeps its score, the rest has none yet
-        both = known.unionByName(reached.withColumn("done", F.lit(False))).groupBy("q", "v").agg(F.max("score").alias("score"), F.max("done").alias("done"))
-        both = materialise(both, "reached")
-        seen = materialise(both.where("score is not null").unionByName(scored(both.where("score is null").select("q", "v"))), "search")
-        discard(ranked, both)
-    best = seen.withColumn("r", F.row_number().over(order)).where((F.col("r") <= max(EXACT, 2 * top)) | mine).select("q", "v")
-    vecs = nodes.select("id", "vec")
-    met = best.join(vecs.withColumnRenamed("id", "q").withColumnRenamed("vec", "qvec"), "q").join(vecs.withColumnRenamed("id", "v"), "v")
-    exact = met.select("q", "v", _dot(F.col("qvec"), F.col("vec")).alias("score"))
-    return materialise(exact.withColumn("r", F.row_number().over(order)).where(F.col("r") <= top).drop("r"), "found")
+def _scores(x: np.ndarray, y: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Inner products of x[at] and y[to], each summed from the first component to the last."""
+    out, step = np.zeros(len(at)), max(1, PAIR_CELLS // x.shape[1])
+    for lo in range(0, len(at), step):
+        some = slice(lo, lo + step)
+        out[some] = np.cumsum(x[at[some]] * y[to[some]], axis=1)[:, -1] + 0.0  # no negative zero
+    return out
+
+
+class _Best:
+    """The ``top`` best nodes of each query among those added; ties to the smaller id."""
+
+    def __init__(self, queries: np.ndarray, top: int):
+        self.queries, self.top = queries, top
+        self.lengths = np.sqrt((queries**2).sum(axis=1))
+        self.score = np.full((len(queries), top), -np.inf)
+        self.id = np.full((len(queries), top), np.iinfo(np.int64).max)
+
+    def add(self, ids: np.ndarray, vecs: np.ndarray) -> None:
+        longest = np.sqrt((vecs**2).sum(axis=1).max())
+        for lo in range(0, len(self.queries), TILE[0]):
+            x = self.queries[lo : lo + TILE[0]]
+            products = x @ vecs.T
+            # what two ways of summing can differ by, and twice that between two pairs
+            slack = 8 * x.shape[1] * 2.0**-53 * longest * self.lengths[lo : lo + TILE[0]]
+            floor = self.score[lo : lo + TILE[0], -1] - slack
+            many = np.flatnonzero((products >= floor[:, None]).sum(axis=1) > self.top)
+            if len(many):
+                edge = np.partition(products[many], -self.top, axis=1)[:, -self.top]
+                floor[many] = np.maximum(floor[many], edge - slack[many])
+            at, to = np.nonzero(products >= floor[:, None])
+            if len(at):
+                self._merge(lo + at, ids[to], _scores(self.queries, vecs, lo + at, to))
+
+    def _merge(self, at: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        held = np.unique(at)
+        at = np.concatenate([at, np.repeat(held, self.top)])
+        ids = np.concatenate([ids, self.id[held].ravel()])
+        scores = np.concatenate([scores, self.score[held].ravel()])
+        order = np.lexsort((ids, -scores, at))
+        at, ids, scores = at[order], ids[order], scores[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        kept = place < self.top
+        self.score[at[kept], place[kept]] = scores[kept]
+        self.id[at[kept], place[kept]] = ids[kept]
 
 
 def brute_force(nodes: DataFrame, queries: DataFrame, top: int) -> DataFrame:
-    """``(q, v, score)`` by holding the queries against all nodes, a block of queries at a time;
-    each task keeps the best of its rows."""
-    blocks = -(-queries.count() // QUERY_BLOCK)
-    out = None
+    """``(q, v, score)``: for each node q of ``queries(q)`` the ``top`` nodes of ``nodes(id, vec)``
+    with the largest inner products (itself may be one), ties to the smaller id. A pass of
+    queries at a time is held in the driver and sent to all tasks."""
     vecs = nodes.select("id", "vec")
-    asked = queries.join(vecs, queries["q"] == vecs["id"]).select("q", "vec")
-    for b in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).collect()
-        ids, matrix = np.array([r["q"] for r in rows], np.int64), np.array([r["vec"] for r in rows], np.float64)
-
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, matrix=matrix) -> Iterator[pa.RecordBatch]:
+    asked = materialise(queries.join(vecs, queries["q"] == vecs["id"]).select("q", "vec"), "asked")
+    count, length = asked.agg(F.count("*"), F.max(F.size("vec"))).first()
+    if not count:
+        return asked.select("q", F.col("q").alias("v"), F.lit(0.0).alias("score")).limit(0)
+    passes = -(-count // max(1, min(QUERY_BLOCK, QUERY_CELLS // length)))
+    order = W.partitionBy("q").orderBy(F.desc("score"), "v")
+    out = None
+    for b in range(passes):
+        part = asked.where(F.pmod(F.xxhash64("q"), F.lit(passes)) == b).toArrow().combine_chunks()
+        if not part.num_rows:
+            continue
+        held = part.column("q").combine_chunks().to_numpy(), _matrix(part.column("vec").combine_chunks())
+        sent = nodes.sparkSession.sparkContext.broadcast(held)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            ids, matrix = sent.value
+            best = None
             for batch in batches:
-                for lo in range(0, batch.num_rows if len(ids) else 0, 4096):
-                    part = batch.slice(lo, 4096)
-                    sims = matrix @ _matrix(part.column(1)).astype(np.float64).T
-                    keep = min(top, sims.shape[1])
-                    # ties at the edge are kept, for the order by id
-                    edge = -np.partition(-sims, keep - 1, axis=1)[:, keep - 1]
-                    at, v = np.nonzero(sims >= edge[:, None] - 1e-9)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(part.column(0).to_numpy()[v])], ["q", "v"])
-
-        found = vecs.mapInArrow(run, "q long, v long")
+                for lo in range(0, batch.num_rows, TILE[1]):
+                    best = best or _Best(matrix.astype(np.float64), top)
+                    some = batch.slice(lo, TILE[1])
+                    best.add(some.column(0).to_numpy(), _matrix(some.column(1)).astype(np.float64))
+            for lo in range(0, len(ids) if best else 0, TILE[1]):
+                at, place = np.nonzero(best.score[lo : lo + TILE[1]] > -np.inf)
+                cols = [ids[lo + at], best.id[lo + at, place], best.score[lo + at, place]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["q", "v", "score"])
+
+        found = vecs.mapInArrow(run, "q long, v long, score double")
+        found = materialise(found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= top).drop("r"), "found")
+        sent.destroy()
         out = found if out is None else out.unionByName(found)
-    if out is None:
-        return asked.select("q", F.col("q").alias("v"), F.lit(0.0).alias("score")).limit(0)
-    met = out.join(vecs.withColumnRenamed("id", "v"), "v").join(asked.withColumnRenamed("vec", "qvec"), "q")
-    met = met.select("q", "v", _dot(F.col("qvec"), F.col("vec")).alias("score"))
-    return met.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "v"))).where(F.col("r") <= top).drop("r")
+    return out
 
 
 def nearest(rows: DataFrame, asks: Column, top: int = TOP) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row of ``rows(vec_id, vec, ...)`` that
-    satisfies ``asks``, the ``top`` nearest other rows found (all, if there are fewer).
+    satisfies ``asks``, the ``top`` nearest other rows (all, if there are fewer).
 
-    Score: the inner product of the original vectors in double precision; ties go to the
-    smaller vec_id. Vectors that are null, zero or hold nulls or non-finite components take no
-    part, nor do rows without an id; rows equal in id and vector count once, an id with several
-    vectors is several rows, none of which is another's neighbour. All vectors taking part must
-    have one length. Other columns are ignored; no row gives no row.
+    Score: the inner product of the original vectors in double precision, summed from the first
+    component to the last; ties go to the smaller vec_id. Vectors that are null, zero or hold
+    nulls or non-finite components take no part, nor do rows without an id; rows equal in id and
+    vector count once, an id with several vectors is several rows, none of which is another's
+    neighbour. All vectors taking part must have one length. Other columns are ignored; no row
+    gives no row.
 
     A vector that many rows share is one node: its ``top + 1`` smallest ids stand for it, which
     are enough for every query.
     """
     rows = materialise(usable(rows).select("vec_id", "vec", asks.alias("asks")).distinct(), "vectors")
-    nodes = _nodes(rows)
+    nodes = materialise(rows.groupBy("vec").agg(F.min("vec_id").alias("id")), "nodes")
     if nodes.isEmpty():
         return rows.select(
             F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         ).limit(0)
-    nodes = materialise(nodes, "nodes")
-    by_vec = nodes.select("id", "vec")
-    known = materialise(rows.join(by_vec, "vec").select("vec_id", "asks", "id"), "members")
+    known = materialise(rows.join(nodes, "vec").select("vec_id", "asks", "id"), "members")
     queries = known.where("asks").select(F.col("id").alias("q")).distinct()
-    found = search(nodes, graph(nodes), queries, top + 1)
-    few = min(top + 1, nodes.count())
-    short = found.groupBy("q").agg(F.count("*").alias("n")).where(F.col("n") < few).select("q")
-    if not short.isEmpty():  # a part of the graph with too few nodes
-        short = materialise(short, "short")
-        found = found.join(short, "q", "left_anti").unionByName(brute_force(nodes, short, few))
+    found = brute_force(nodes, queries, top + 1)
     order = W.partitionBy("id").orderBy("vec_id")
     first = known.select("id", "vec_id").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= top + 1).drop("r")
     near = found.join(first, F.col("v") == F.col("id")).select("q", "vec_id", "score")

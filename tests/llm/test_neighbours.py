@@ -84,3 +84,23 @@ def test_brute_force_blocks(spark, monkeypatch):
         near.setdefault(r.q, set()).add(r.v)
     vec = np.array([v for _, v in data], float)
     assert near == {q: set(np.argsort(-(vec @ vec[q]))[:5].tolist()) for q in range(50)}
+
+
+def dense(n, dims, spread, seed):
+    """Vectors of length 1 without clusters but for a third of them around one centre, all unequal."""
+    rng = np.random.default_rng(seed)
+    wild = rng.normal(size=(n, dims))
+    wild /= np.linalg.norm(wild, axis=1, keepdims=True)
+    third = rng.permutation(n)[: n // 3]
+    wild[third] = wild[third[0]] + rng.normal(size=(len(third), dims)) * spread
+    return [(i, v) for i, v in enumerate(wild.astype(np.float32).tolist())], set(third.tolist())
+
+
+def test_dense_group_of_unequal_vectors(spark):
+    """A third of the rows so close together that a search by rounded vectors cannot order them."""
+    data, third = dense(3000, 64, 0.0005, 4)
+    found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 20 == 0))
+    want = brute(data, lambda i: i % 20 == 0, 20)
+    assert any(q in third for q in want) and not all(q in third for q in want)
+    assert recall(found, want) == 1
+    check_scores(found, data)
