@@ -104,3 +104,10 @@ def test_dense_group_of_unequal_vectors(spark):
     assert any(q in third for q in want) and not all(q in third for q in want)
     assert recall(found, want) == 1
     check_scores(found, data)
+
+
+def test_vectors_in_nobodys_list(spark):
+    """In a dense group many vectors are near neighbours of few others, which still find them."""
+    data, _ = dense(600, 16, 0.0005, 5)
+    found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.lit(True), top=3))
+    assert recall(found, brute(data, lambda i: True, 3)) == 1
