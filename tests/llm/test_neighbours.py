@@ -111,3 +111,12 @@ def test_vectors_in_nobodys_list(spark):
     data, _ = dense(600, 16, 0.0005, 5)
     found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.lit(True), top=3))
     assert recall(found, brute(data, lambda i: True, 3)) == 1
+
+
+def test_no_neighbour_is_lost_without_clusters(spark):
+    rng = np.random.default_rng(6)
+    flat = rng.normal(size=(6000, 64))
+    flat /= np.linalg.norm(flat, axis=1, keepdims=True)
+    data = [(i, v) for i, v in enumerate(flat.astype(np.float32).tolist())]
+    found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 40 == 0))
+    assert recall(found, brute(data, lambda i: i % 40 == 0, 20)) == 1
