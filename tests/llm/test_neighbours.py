@@ -120,3 +120,13 @@ def test_no_neighbour_is_lost_without_clusters(spark):
     data = [(i, v) for i, v in enumerate(flat.astype(np.float32).tolist())]
     found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 40 == 0))
     assert recall(found, brute(data, lambda i: i % 40 == 0, 20)) == 1
+
+
+def test_copies_closer_than_a_byte(spark):
+    """More near copies than any fixed number of nodes to score, which bytes cannot tell apart."""
+    rng = np.random.default_rng(7)
+    wild = rng.normal(size=(400, 32))
+    wild[100:] = wild[0] + rng.normal(size=(300, 32)) * 1e-5
+    data = [(i, v) for i, v in enumerate(wild.astype(np.float32).tolist())]
+    found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 10 == 0))
+    assert recall(found, brute(data, lambda i: i % 10 == 0, 20)) == 1
