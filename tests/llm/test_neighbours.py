@@ -130,3 +130,17 @@ def test_copies_closer_than_a_byte(spark):
     data = [(i, v) for i, v in enumerate(wild.astype(np.float32).tolist())]
     found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 10 == 0))
     assert recall(found, brute(data, lambda i: i % 10 == 0, 20)) == 1
+
+
+def test_many_tiles_and_passes(spark, monkeypatch):
+    """Bounds small against the rows: a third of them unequal near copies, and many equal scores."""
+    monkeypatch.setattr(neighbours, "TILE", (7, 16))
+    monkeypatch.setattr(neighbours, "QUERY_CELLS", 16 * 16)
+    monkeypatch.setattr(neighbours, "PAIR_CELLS", 16 * 5)
+    data, _ = dense(900, 16, 0.0005, 8)
+    found = got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 20 == 0))
+    assert recall(found, brute(data, lambda i: i % 20 == 0, 20)) == 1
+    check_scores(found, data)
+    whole = np.random.default_rng(9).integers(-2, 3, (700, 6)).astype(float).tolist()
+    data = list(enumerate(whole))
+    assert got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 20 == 0)) == brute(data, lambda i: i % 20 == 0, 20)
