@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.tables import delete
@@ -64,6 +65,13 @@ def text_hash(col: str = "text"):
     return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
 
 
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """One row for each doc_id of ``rows(doc_id, text, ...)``, with the text of the smallest hash:
+    an id of many rows takes the place of no other."""
+    order = W.partitionBy("doc_id").orderBy(text_hash(), "text")
+    return rows.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
+
+
 def row_key(doc_id, content):
     """One string for an id (null as empty) and a hash of the text: a single key shuffles once
     for a join and a grouping that follows it."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import LOWER, Block, mix, restored, span_hashes, text_blocks, word_bounds
+from ledgerloom.llm.shared import LOWER, Block, mix, one_text_each, restored, span_hashes, text_blocks, word_bounds
 
 WINDOW, STEP = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -310,7 +310,8 @@ def held_out(fold: int = 1, folds: int = 3):
 def fit(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> Model | float:
     """A model from labelled texts outside the held-out fold, drawn by a hash of doc_id. With
     one label only, a constant: that label (0 without any). A doc_id with several labels counts
-    as toxic if one says so; null ids, labels and texts are left out."""
+    as toxic if one says so, one with several texts gives one of them; null ids, labels and texts
+    are left out."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out())
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     found = docs.where("text is not null").select(F.col("doc_id").alias("id"), "text")
@@ -319,9 +320,9 @@ def fit(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS, chars: int
         # some more ids than needed, as long texts and labels without a text drop out
         ids = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * texts)
         drawn.append(found.join(F.broadcast(ids), F.col("id") == F.col("doc_id")))
-    both = drawn[0].unionByName(drawn[1]).where(F.length("text") <= chars)
-    drawn = both.select("doc_id", "toxic", F.xxhash64("text").alias("h"), "text").orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(4 * texts)
-    rows = drawn.collect()  # at most 4 * texts rows of at most chars characters
+    both = one_text_each(drawn[0].unionByName(drawn[1]).where(F.length("text") <= chars))
+    drawn = both.select("doc_id", "toxic", "text").orderBy(F.xxhash64("doc_id"), "doc_id")
+    rows = drawn.collect()  # a row for each id: at most 4 * texts, of at most chars characters
     rows = [r for label in (0, 1) for r in [r for r in rows if r["toxic"] == label][:texts]]
     if len({r["toxic"] for r in rows}) < 2:
         return float(rows[0]["toxic"]) if rows else 0.0

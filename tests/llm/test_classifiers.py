@@ -169,3 +169,19 @@ def test_language_edge_cases(spark):
     assert rows(langid.identify(empty(docs), model)) == []
     nothing = langid.identify(docs, langid.fit(empty(docs)))
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
+
+
+def test_rows_of_one_id_push_out_no_other(spark, monkeypatch):
+    """The labelled id that is drawn first has more rows than a whole training sample."""
+    drawn = []
+    for model in (toxicity.Model, quality.Model):
+        monkeypatch.setattr(model, "train", lambda self, texts, marks, *rest: drawn.append((len(texts), np.bincount(marks).tolist())))
+    ids = spark.range(200).select(F.col("id").alias("doc_id")).where(~toxicity.held_out())
+    order = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    docs = [(i, f"text {k} of {i}") for i in order for k in range(300 if i == order[0] else 1)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, n % 2) for n, i in enumerate(order)], "doc_id long, mark int")
+    model = toxicity.fit(docs, marks.withColumnRenamed("mark", "toxic"), texts=5)
+    assert isinstance(model, toxicity.Model)
+    quality.fit(docs, marks.withColumnRenamed("mark", "grade"), grades=2, texts=5)
+    assert drawn == [(10, [5, 5]), (10, [5, 5])]
