@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: their contracts' columns over whole tables."""
+"""The registered queries of the operators: their contracts' columns over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontam, langid, licences, mixing, neighbours, pii, quality, simhash, toxicity
+from ledgerloom.llm import chat, decontam, langid, licences, mixing, neighbours, pii, quality, simhash, toxicity, variants, whitening
 from ledgerloom.llm.shared import table
 
 
@@ -61,6 +61,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_pii": op2_pii,
@@ -72,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_language_id": op10_language_id,
+    "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
