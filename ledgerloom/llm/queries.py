@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontam, langid, licences, mixing, neighbours, pii, quality, simhash, toxicity, variants, whitening
+from ledgerloom.llm import chat, decontam, jaccard, langid, licences, mixing, neighbours, pii, quality, simhash, toxicity, variants, whitening
 from ledgerloom.llm.shared import table
 
 
@@ -61,6 +61,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_language_id": op10_language_id,
+    "op11_jaccard_join": op11_jaccard_join,
     "op12_whitening": op12_whitening,
     "op13_spelling_variants": op13_spelling_variants,
 }
@@ -88,4 +93,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_curriculum_mix": mixing.ORACLE,
     "op4_chat_format": chat.ORACLE,
     "op6_licence_scan": licences.oracle(),
+    "op11_jaccard_join": jaccard.ORACLE,
 }
