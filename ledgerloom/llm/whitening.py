@@ -32,6 +32,8 @@ COMPONENTS = 16
 INNER = 6
 #: Passes after which an iteration that does not settle raises.
 MAX_OUTER = 200
+#: Tasks that add up the other tasks' sums.
+FOLDS = 4
 SEED = 17
 
 Product = Callable[[np.ndarray], np.ndarray]
@@ -166,24 +168,25 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), d)
 
 
-def _summed(rows: DataFrame, d: int, shape: tuple[int, ...], kind: str, kernel: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum over all vectors of ``kernel(block of vectors)``: one array a task, added cell by cell."""
-    size = int(np.prod(shape))
+def _summed(rows: DataFrame, d: int, shape: tuple[int, ...], kind: type, kernel: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all vectors of ``kernel(block of vectors)``: one array a task, which FOLDS tasks
+    add up (an array at a time), and the driver the FOLDS sums."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
         total = None
-        for b in batches:
-            if b.num_rows:
-                part = kernel(_matrix(b.column(0), d)).reshape(-1)
-                total = part if total is None else total + part
+        for part in arrays:
+            total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["cell", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([total.astype(kind).tobytes()], pa.binary())], ["part"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return summed(kernel(_matrix(b.column(0), d)) for b in batches if b.num_rows)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return summed(np.frombuffer(raw, kind) for b in batches for raw in b.column(0).to_pylist())
 
-    cells = rows.mapInArrow(run, f"cell long, value {kind}").groupBy("cell").agg(F.sum("value").alias("value"))
-    out = np.zeros(size, np.int64 if kind == "long" else float)
-    for cell, value in cells.collect():  # dimension times block width
-        out[cell] = value
-    return out.reshape(shape)
+    parts = rows.mapInArrow(each, "part binary").repartition(FOLDS).mapInArrow(fold, "part binary")
+    return sum((np.frombuffer(r[0], kind) for r in parts.collect()), np.zeros(shape, kind).reshape(-1)).reshape(shape)
 
 
 class Fit:
@@ -199,18 +202,18 @@ class Fit:
         self.values, self.vectors, self.trace, self.identity_error = np.zeros(0), np.zeros((self.d, 0)), 0.0, 0.0
         if not self.d:
             return
-        self.sums = _summed(self.rows, self.d, (self.d,), "long", lambda x: x.sum(axis=0))
+        self.sums = _summed(self.rows, self.d, (self.d,), np.int64, lambda x: x.sum(axis=0))
         if self.n * (abs(int(self.sums.max())) + OFFSET) >= 1 << 63:
             raise ValueError("n * x does not fit a long")
         n, centred = self.n, self.centred()
-        self.trace = float(_summed(self.rows, self.d, (1,), "double", lambda x: (centred(x) ** 2).sum().reshape(1))[0]) / n
+        self.trace = float(_summed(self.rows, self.d, (1,), float, lambda x: (centred(x) ** 2).sum().reshape(1))[0]) / n
         if self.trace == 0:
             return
         values, vectors = jacobi_davidson(self.product, self.d, components)
         real = values > self.d * np.finfo(float).eps * self.trace  # a direction without spread has no scale
         self.values, self.vectors = values[real], vectors[:, real]
         k, to = len(self.values), self.vectors / np.sqrt(self.values)
-        cov = _summed(self.rows, self.d, (k, k), "double", lambda x: (centred(x) @ to).T @ (centred(x) @ to)) / n
+        cov = _summed(self.rows, self.d, (k, k), float, lambda x: (centred(x) @ to).T @ (centred(x) @ to)) / n
         self.identity_error = float(np.abs(cov - np.eye(k)).max())
 
     def centred(self) -> Callable[[np.ndarray], np.ndarray]:
@@ -225,7 +228,7 @@ class Fit:
             c = centred(x)
             return c.T @ (c @ block)
 
-        return _summed(self.rows, self.d, block.shape, "double", kernel) / self.n
+        return _summed(self.rows, self.d, block.shape, float, kernel) / self.n
 
 
 def grid(embeddings: DataFrame) -> DataFrame:
