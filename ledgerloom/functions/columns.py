@@ -21,15 +21,20 @@ SALES_COLUMNS = ("store_token", "transaction_id", "receipt_token", "transaction_
 FILE_PREFIXES = (("stores_", "stores"), ("sales_", "sales"))
 # Fallback format for compact timestamps such as 20241001T130832.000.
 COMPACT_TS_FORMAT = "yyyyMMdd'T'HHmmss.SSS"
-# Further spellings, after what stands in front of or behind them is rewritten (see TS_REWRITES).
-OTHER_TS_FORMATS = ("MM/dd/yyyy HH:mm:ss", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm")
-# "Tue, 01 Oct 2024 13:08:32 +0000" and "Tue Oct 01 13:08:32 +0000 2024" as day month year time: the
-# weekday and the offset go, as the column holds wall-clock time.
-TS_REWRITES = (
-    (r"^[A-Za-z]{3},? +", ""),
+# Spellings that become ISO text by moving their digits, as (whole shape, replacement).
+TS_TO_ISO = (
+    (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})(\.\d{1,9})$", "$1-$2-$3T$4:$5:$6$7"),  # COMPACT_TS_FORMAT
+    (r"^(\d{2})/(\d{2})/(\d{4}) (\d{2}:\d{2}:\d{2})$", "$3-$1-$2 $4"),
+)
+# "Tue, 01 Oct 2024 13:08:32 +0000" and "Tue Oct 01 13:08:32 +0000 2024", with or without weekday, offset
+# and seconds, as day month year time: the weekday and the offset go, as the column holds wall-clock time.
+NAMED_TS_SHAPE = r"^(?:[A-Za-z]{3},? +)?(?:\d{1,2} [A-Za-z]{3}|[A-Za-z]{3} +\d{1,2}) "
+NAMED_TS_REWRITES = (
+    (r"^[A-Za-z]{3},? +(?=\d{1,2} [A-Za-z]{3} |[A-Za-z]{3} )", ""),
     (r"^([A-Za-z]{3}) +(\d{1,2}) +(\d{1,2}:\d{2}(?::\d{2})?)(?: +[+-]\d{2}:?\d{2})? +(\d{4})$", "$2 $1 $4 $3"),
     (r"^(\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}(?::\d{2})?) +(?:[+-]\d{2}:?\d{2}|GMT|UTC|Z)$", "$1"),
 )
+NAMED_TS_FORMAT = "d MMM yyyy HH:mm[:ss]"
 # Amount type: decimal(11,2); sums and totals are reported as decimal(18,2).
 AMOUNT_TYPE = "decimal(11,2)"
 TOTAL_TYPE = "decimal(18,2)"
@@ -80,20 +85,26 @@ def clean_amount(c: Column | str) -> Column:
 
 
 def parse_transaction_time(c: Column | str) -> Column:
-    """Wall-clock timestamp from an ISO-like string, else from the compact format, else from
-    ``10/01/2024 13:08:32`` and the two spellings with a weekday (TS_REWRITES).
+    """Wall-clock timestamp from an ISO-like string, from the compact format, from
+    ``10/01/2024 13:08:32`` or from the two spellings with a month's name (NAMED_TS_REWRITES).
 
-    Input is a bronze field, trimmed at ingestion (the cast trims as well). A bare digit
-    run (``2024``, an epoch) is not accepted: Spark would read a lone year as a date,
-    which no feed means.
+    A row takes one parser only, picked by its shape: digits-only spellings are moved into ISO
+    order and cast, which neither throws nor depends on a time zone. Input is a bronze field,
+    trimmed at ingestion (the cast trims as well). A bare digit run (``2024``, an epoch) is not
+    accepted: Spark would read a lone year as a date, which no feed means.
     """
     raw = col_of(c)
-    plain = raw
-    for pattern, to in TS_REWRITES:
-        plain = F.regexp_replace(plain, pattern, to)
-    formats = [F.try_to_timestamp(raw, F.lit(COMPACT_TS_FORMAT)), *(F.try_to_timestamp(plain, F.lit(f)) for f in OTHER_TS_FORMATS)]
-    spelled = F.coalesce(raw.try_cast("timestamp_ntz"), *(f.cast("timestamp_ntz") for f in formats))
-    return F.when(~raw.rlike(r"^[0-9]+$"), spelled)
+    iso = raw
+    for shape, to in TS_TO_ISO:
+        iso = F.regexp_replace(iso, shape, to)
+    named = raw
+    for pattern, to in NAMED_TS_REWRITES:
+        named = F.regexp_replace(named, pattern, to)
+    return (
+        F.when(raw.rlike(r"^[0-9]+$"), F.lit(None))
+        .when(raw.rlike(NAMED_TS_SHAPE), F.try_to_timestamp(named, F.lit(NAMED_TS_FORMAT)).cast("timestamp_ntz"))
+        .otherwise(iso.try_cast("timestamp_ntz"))
+    )
 
 
 def receipt_length_ok(c: Column | str) -> Column:

@@ -36,6 +36,12 @@ def test_parse_transaction_time(spark):
         "2024-10-01T13:08:32": dt.datetime(2024, 10, 1, 13, 8, 32),
         "2024-10-01 13:08:32": dt.datetime(2024, 10, 1, 13, 8, 32),
         "2024-10-01": dt.datetime(2024, 10, 1),
+        "10/01/2024 13:08:32": dt.datetime(2024, 10, 1, 13, 8, 32), "13/01/2024 13:08:32": None, "10/1/2024 13:08:32": None,
+        "Tue, 01 Oct 2024 13:08:32 +0000": dt.datetime(2024, 10, 1, 13, 8, 32),
+        "Tue Oct 01 13:08:32 +0200 2024": dt.datetime(2024, 10, 1, 13, 8, 32),
+        "1 Oct 2024 13:08": dt.datetime(2024, 10, 1, 13, 8), "1 Okt 2024 13:08": None,
+        "Oct 1 13:08:32 2024": dt.datetime(2024, 10, 1, 13, 8, 32),
+        "20241001T130832": None, "20241001T130832.": None, "20241001T250832.000": None,
         "20241301T130832.000": None, "NOT_A_TIMESTAMP": None, "2024": None, "1700000000": None, None: None,
     }
     for raw, want in cases.items():
