@@ -8,15 +8,18 @@ A document's set is its distinct shingles, as 64-bit hashes; equal sets are one
 2. Two sets at the threshold have an n-gram in common among the first of each (its head, a fifth
    of a set at 0.8). Heads are counted by n-gram; what no second set has is dropped.
 3. Stars: each set is held against the one set that leads most of its n-grams. Thousands of near
-   copies so become one class with one comparison each.
+   copies so become one class with one comparison each. Rounds go on while the pairs that they
+   leave are many.
 4. What is left are pairs of different classes that meet in a head: for each n-gram, the sets
-   outside its largest class against all, if sizes and places in the order still allow the
-   threshold. Pairs within a class need no comparison, so no group is expanded.
+   outside its largest class against all. Pairs within a class need no comparison, so no group is
+   expanded. The heads are prefixes of one order: what a pair has in common there, and what
+   can be left behind the heads, bounds its overlap, and few pairs pass.
 5. A comparison is vertical: the fragments of both sets are joined fragment by fragment, the
    partial overlaps counted apart and summed per pair, and the sum decides exactly.
 6. Connected components over the links.
 
-The passes over the texts recompute the sets, which costs less than to store them.
+The passes over the texts recompute the sets, which costs less than to store them; that of the
+comparisons looks at the texts of the sets to compare only.
 """
 
 from __future__ import annotations
@@ -25,11 +28,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import connected_components
-from ledgerloom.llm.shared import materialise, mix, ngram_hashes, span_hashes, text_blocks, word_bounds
+from ledgerloom.llm.shared import discard, materialise, mix, ngram_hashes, span_hashes, text_blocks, text_hash, word_bounds
 
 SHINGLE, PERCENT = 5, 80
 FRAGMENTS = 4
@@ -37,8 +40,8 @@ FRAGMENTS = 4
 CELLS, BITS = 1 << 20, 1 << 26
 #: Counters or bytes of a table that travel as one row.
 SLICE = 1 << 14
-#: Rounds of stars before the pairs of what they leave.
-STARS = 2
+#: Rounds of stars at most, and pairs for each head n-gram that are compared without another.
+STARS, EASY = 6, 4
 #: Sets that a task remembers, to pass over copies.
 SEEN = 1 << 16
 
@@ -196,8 +199,8 @@ def _sets_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int
 
 
 def _members(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, id, n, at, part): a row for each document with its set's name and size, and each
-    task's sketch in rows of their own (``at`` not null)."""
+    """(doc_id, text_hash, id, n, at, part): a row for each document with its set's name and size,
+    and each task's sketch in rows of their own (``at`` not null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(CELLS, np.int64)
@@ -212,7 +215,7 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
         held = 0
         for b in batches:
             names, sizes = [None] * b.num_rows, [0] * b.num_rows
-            for row, grams in shingle_sets(b.column(1), size):
+            for row, grams in shingle_sets(b.column(2), size):
                 if len(grams):
                     names[row], sizes[row] = set_id(grams), len(grams)
                     waiting.append(grams)
@@ -222,16 +225,17 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
                         held = 0
             none = pa.nulls(b.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), none, pa.nulls(b.num_rows, pa.binary())],
-                ["doc_id", "id", "n", "at", "part"],
+                [b.column(0), b.column(1), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), none, pa.nulls(b.num_rows, pa.binary())],
+                columns,
             )
         count()
         for s in _slices(counters):
             none = pa.nulls(s.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, *s.columns], ["doc_id", "id", "n", "at", "part"])
+            yield pa.RecordBatch.from_arrays([none, none, none, none, *s.columns], columns)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, id long, n long, at long, part binary")
+    columns = ["doc_id", "text_hash", "id", "n", "at", "part"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, id long, n long, at long, part binary")
 
 
 def _long_columns(columns: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
@@ -264,18 +268,24 @@ def _heads(docs: DataFrame, order: Order, size: int, percent: int, shared: np.nd
 
 
 def _fragments(docs: DataFrame, order: Order, size: int, wanted: np.ndarray) -> DataFrame:
-    """(id, fragment, grams): the fragments of the sets that the bitmap ``wanted`` holds, once each."""
+    """(id, fragment, grams): the fragments of the sets whose text's hash the bitmap ``wanted``
+    holds, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, grams in _sets_of(batches, size):
-            if _has(wanted, np.array([name]).view(np.uint64))[0]:
-                cut = list(order.fragments(grams))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(cut), pa.int64()), pa.array([k for k, _ in cut], pa.int32()), pa.array([p.tobytes() for _, p in cut], pa.binary())],
-                    ["id", "fragment", "grams"],
-                )
-
-    rows = docs.select("text").mapInArrow(run, "id long, fragment int, grams binary")
+        def kept() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                some = b.filter(pa.array(_has(wanted, b.column(1).to_numpy(zero_copy_only=False).view(np.uint64))))
+                if some.num_rows:
+                    yield some
+
+        for name, grams in _sets_of(kept(), size):
+            cut = list(order.fragments(grams))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(cut), pa.int64()), pa.array([k for k, _ in cut], pa.int32()), pa.array([p.tobytes() for _, p in cut], pa.binary())],
+                ["id", "fragment", "grams"],
+            )
+
+    rows = docs.select("text", text_hash().alias("text_hash")).mapInArrow(run, "id long, fragment int, grams binary")
     return rows.groupBy("id", "fragment").agg(F.first("grams").alias("grams"))
 
 
@@ -304,7 +314,7 @@ class Join:
             raise ValueError("percent must be 50 to 100")
         self.docs, self.size, self.percent = docs.select("doc_id", "text"), size, percent
         rows = materialise(_members(self.docs, size), "jaccard-members")
-        self.members = rows.where("at is null").select("doc_id", "id", "n")
+        self.members = rows.where("at is null").select("doc_id", "text_hash", "id", "n")
         self.order = Order(_folded(rows.where("at is not null").select("at", "part"), CELLS, np.int64, np.add))
 
     def heads(self) -> DataFrame:
@@ -317,46 +327,70 @@ class Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """(a, b) of the distinct pairs ``(a, b, na, nb)`` at the threshold: partial overlaps summed."""
         pairs = materialise(pairs, "jaccard-pairs")
-        ids = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
-        pieces = _fragments(self.docs, self.order, self.size, _bitmap(ids, BITS))
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        texts = self.members.join(ids, "id").groupBy("id").agg(F.min("text_hash").alias("text_hash"))
+        wanted = _bitmap(texts.select("text_hash"), BITS)
+        pieces = materialise(_fragments(self.docs, self.order, self.size, wanted), "jaccard-pieces")
         one = pieces.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
         two = pieces.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
         met = pairs.join(one, "a").join(two, ["b", "fragment"])
         sums = _partial_overlaps(met).groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
         union = F.col("na") + F.col("nb") - F.col("overlap")
         near = pairs.join(sums, ["a", "b"]).where(F.col("overlap") * 100 >= union * self.percent)
-        return materialise(near.select("a", "b"), "jaccard-links")
+        out = materialise(near.select("a", "b"), "jaccard-links")
+        discard(pieces, pairs)
+        return out
+
+    def possible(self, na: str, nb: str, common: str) -> Column:
+        """Whether sets of these sizes with so many n-grams in common among their heads can reach
+        the threshold: behind the head that ends first, no more than that set's rest is common."""
+        least = F.ceil((F.col(na) + F.col(nb)) * self.percent / (100 + self.percent))
+        rest = F.ceil(F.greatest(na, nb) * self.percent / 100) - 1
+        sizes = F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent
+        return sizes & (F.col(common) + rest >= least)
 
     def stars(self, heads: DataFrame) -> DataFrame:
-        """Each set of ``heads(gram, id, n, c, ...)`` with the set of another class that leads most
-        of its n-grams: the one of the smallest name."""
+        """Sets of ``heads(gram, id, n, c, ...)``, each with the set of another class that leads most
+        of its n-grams (the one of the smallest name), where so many make a link likely."""
         lead = heads.groupBy("gram").agg(F.min(F.struct("c", "id", "n")).alias("lead"))
         votes = heads.join(lead, "gram").where(F.col("c") != F.col("lead.c"))
         votes = votes.groupBy("id", "n", "lead").agg(F.count("*").alias("votes"))
-        best = votes.groupBy("id", "n").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead"))
-        best = best.select(F.col("id").alias("a"), F.col("lead.id").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb"))
-        return best.where(self.sizes_allow("na", "nb"))
+        best = votes.groupBy("id", "n").agg(F.max(F.struct("votes", "lead")).alias("best"))
+        best = best.select(
+            F.col("id").alias("a"), F.col("best.lead.id").alias("b"), F.col("n").alias("na"), F.col("best.lead.n").alias("nb"), "best.votes"
+        )
+        return best.where(self.possible("na", "nb", "votes")).drop("votes")
+
+    @staticmethod
+    def _by_class(heads: DataFrame) -> DataFrame:
+        """(gram, main, size, top): each n-gram's largest class, its sets, and those of that class."""
+        parts = heads.groupBy("gram", "c").agg(F.count("*").alias("k"))
+        main = F.max_by("c", F.struct("k", "c")).alias("main")
+        return parts.groupBy("gram").agg(main, F.sum("k").alias("size"), F.max("k").alias("top"))
 
-    def sizes_allow(self, na: str, nb: str):
-        return F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent
+    def hard(self, heads: DataFrame) -> bool:
+        """Whether ``crossing`` would make many more rows than it reads."""
+        work = self._by_class(heads).agg(F.sum((F.col("size") - F.col("top")) * F.col("size")).alias("pairs"), F.sum("size").alias("rows")).first()
+        return (work["pairs"] or 0) > EASY * (work["rows"] or 0)
 
     def crossing(self, heads: DataFrame) -> DataFrame:
-        """Pairs of sets of different classes ``c`` that meet in an n-gram of ``heads``, where their
-        sizes and places allow the threshold: of each n-gram, the sets outside its largest
-        class with all sets of other classes."""
-        parts = heads.groupBy("gram", "c").agg(F.count("*").alias("size"))
-        main = parts.groupBy("gram").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("classes"))
-        rows = heads.join(main.where("classes > 1").select("gram", "main"), "gram").withColumn("minor", F.col("c") != F.col("main"))
+        """Pairs of sets of different classes ``c`` that can reach the threshold, by the n-grams that
+        they have in common in ``heads``: of each, the sets outside its largest class with
+        all sets of other classes."""
+        rows = heads.join(self._by_class(heads).where("top < size").select("gram", "main"), "gram")
+        rows = rows.withColumn("minor", F.col("c") != F.col("main"))
         x = rows.where("minor").select("gram", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "pos", "c")])
         y = rows.select("gram", "minor", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "pos", "c")])
-        # the overlap that the threshold takes, and what is left from the first n-gram in common on
-        least = F.ceil((F.col("n_x") + F.col("n_y")) * self.percent / (100 + self.percent))
-        left = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
         once = ~F.col("minor") | (F.col("id_x") < F.col("id_y"))
-        met = x.join(y, "gram").where((F.col("c_x") != F.col("c_y")) & once & self.sizes_allow("n_x", "n_y") & (left >= least))
+        sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * self.percent
+        met = x.join(y, "gram").where((F.col("c_x") != F.col("c_y")) & once & sizes)
         a, b = F.struct(F.col("id_x").alias("id"), F.col("n_x").alias("n")), F.struct(F.col("id_y").alias("id"), F.col("n_y").alias("n"))
-        met = met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-        return met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
+        # what is left from the first n-gram in common on bounds the overlap as well
+        left = F.max(F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))).alias("left")
+        met = met.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.count("*").alias("common"), left)
+        met = met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"), "common", "left")
+        least = F.ceil((F.col("na") + F.col("nb")) * self.percent / (100 + self.percent))
+        return met.where(self.possible("na", "nb", "common") & (F.col("left") >= least)).drop("common", "left")
 
     @staticmethod
     def classed(heads: DataFrame, roots: DataFrame) -> DataFrame:
@@ -371,11 +405,18 @@ class Join:
         heads = self.heads()
         links = heads.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
         roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        for _ in range(STARS):
-            rows = self.classed(heads, roots)
-            links = links.unionByName(self.verified(self.stars(rows)))
+        rows = self.classed(heads, roots)
+        for k in range(STARS):
+            if k and not self.hard(rows):
+                break
+            found = self.verified(self.stars(rows))
+            if found.isEmpty():
+                break
+            links = links.unionByName(found)
             roots = materialise(connected_components(links), "jaccard-roots")
-        links = links.unionByName(self.verified(self.crossing(self.classed(heads, roots))))
+            before, rows = rows, self.classed(heads, roots)
+            discard(before)
+        links = links.unionByName(self.verified(self.crossing(rows)))
         return connected_components(links)
 
 
