@@ -22,9 +22,8 @@ from ledgerloom.functions.columns import (
 )
 from ledgerloom.operators import checks, merge, quality, reports
 from ledgerloom.operators.dedup import last_n_values
-from ledgerloom.plans import tables
 from ledgerloom.session import scratch_path, shared_dir
-from ledgerloom.sources import adapters, csv_inbox
+from ledgerloom.sources import adapters, csv_inbox, tables
 from ledgerloom.sources.adapters import read_table
 
 # --- fixed values of the query catalogue (shared with the oracle SQL) ---

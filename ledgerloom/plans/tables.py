@@ -1,139 +1,3 @@
-"""Parquet tables on a shared file system: append tables and versioned snapshots.
+"""Moved to ``ledgerloom.sources.tables``."""
 
-Bronze and silver only grow, so they are plain appends partitioned by ``batch_date``.
-Gold tables are rewritten by an upsert; Spark must not overwrite a path it is reading,
-so each rewrite goes to a new version folder ``_v000001``, ``_v000002``, ... and readers
-take the newest folder whose write committed (has ``_SUCCESS``). A failed or lost job
-leaves an uncommitted folder that no reader ever picks up.
-
-File-system calls go through Hadoop's ``FileSystem`` of the session, so the same code
-works on local disk, HDFS or an object store.
-"""
-
-from __future__ import annotations
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-
-VERSION_PREFIX = "_v"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
-    return fs.exists(p)
-
-
-def move(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s, jvm = _fs(spark, src)
-    d = jvm.org.apache.hadoop.fs.Path(dst)
-    fs.mkdirs(d.getParent())
-    if fs.exists(d):
-        fs.delete(d, False)
-    if not fs.rename(s, d):
-        raise OSError(f"could not move {src} to {dst}")
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder (e.g. one table partition) if it exists."""
-    fs, p, _ = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
-    """Data files directly inside ``folder`` (no hidden or marker files)."""
-    fs, p, _ = _fs(spark, folder)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isFile() and not name.startswith(("_", ".")) and name.endswith(suffix):
-            out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet table at ``path``, or None when no row was written there yet.
-
-    An append of zero rows leaves a folder without data files; it reads as None too.
-    """
-    if not exists(spark, path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of the first partition level, from a listing of its folders."""
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    names = [f.getName() for f in jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))]
-    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{column}="))
-
-
-def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[len(VERSION_PREFIX):].isdigit():
-            committed = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-            if committed:
-                out.append((int(name[len(VERSION_PREFIX):]), st.getPath().toString()))
-    return sorted(out)
-
-
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest committed version of a versioned table, or None."""
-    vs = _versions(spark, root)
-    return spark.read.parquet(vs[-1][1]) if vs else None
-
-
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``root``; returns its path."""
-    spark = df.sparkSession
-    fs, p, jvm = _fs(spark, root)
-    highest = -1
-    if fs.exists(p):
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(VERSION_PREFIX) and name[len(VERSION_PREFIX):].isdigit():
-                highest = max(highest, int(name[len(VERSION_PREFIX):]))
-    path = f"{root.rstrip('/')}/{VERSION_PREFIX}{highest + 1:06d}"
-    w = for_partitioned_write(df, partition_by).write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def for_partitioned_write(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
-    """Group rows by output partition before a partitioned write.
-
-    Without it every task writes a file into every partition it meets (tasks x dates
-    small files). ``rebalance`` is sized at run time by AQE: small partitions are
-    merged into one file, a partition holding a third of all rows is split over many
-    tasks, so no single task writes a hot date alone.
-    """
-    return df.hint("rebalance", *partition_by) if partition_by else df
-
-
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = for_partitioned_write(df, partition_by).write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+from ledgerloom.sources.tables import delete  # noqa: F401

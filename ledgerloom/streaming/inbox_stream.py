@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.plans import tables
+from ledgerloom.sources import tables
 from ledgerloom.sources import csv_inbox
 
 

@@ -95,10 +95,10 @@ def test_a_sales_row_is_parsed_once_in_compiled_code(spark):
     from conftest import SF001
     from ledgerloom.plans.catalog import QUERIES
 
-    for name in ("sales_valid", "sales_rejected", "reject_reason_counts"):
+    for name in ("sales_valid", "sales_rejected"):
         execution = QUERIES[name](spark, SF001)._jdf.queryExecution()
         plan = execution.optimizedPlan().toString()
         assert plan.count("as timestamp_ntz) END") == 1 and plan.count("as decimal(11,2))") == plan.count("cast(l_extendedprice") + 1
         code = spark._jvm.PythonSQLUtils.explainString(execution, "codegen")
         sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
-        assert max(sizes, default=0) < 8000 and (sizes or "AdaptiveSparkPlan" in code)
+        assert max(sizes, default=0) < 8000 and sizes
