@@ -14,10 +14,10 @@ does not list empty files, so they get no log row.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.sources import tables
-from ledgerloom.sources import csv_inbox
+from ledgerloom.sources import csv_inbox, tables
 
 
 def _load_batch(bronze_root: str):
@@ -28,8 +28,9 @@ def _load_batch(bronze_root: str):
         if not names:
             return
 
-        def read(feed: str, todo: DataFrame) -> DataFrame:
-            return csv_inbox.records(batch.join(todo.select("file_name"), "file_name", "left_semi"), feed)
+        def read(todo: DataFrame) -> DataFrame:
+            names = [r[0] for r in todo.select("file_name").collect()]
+            return csv_inbox.positioned(batch.where(F.col("file_name").isin(names)))
 
         log = tables.read_or_none(spark, f"{bronze_root}/ingestion_log")
         csv_inbox.load_files(spark, names, bronze_root, log, None, read)
