@@ -128,10 +128,11 @@ def _bitmap(rows: DataFrame, bits: int) -> np.ndarray:
     others by chance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(bits, bool)
+        table = np.zeros(bits // 8, np.uint8)
         for b in batches:
-            table[b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(bits - 1)] = True
-        yield from _slices(np.packbits(table, bitorder="little"))
+            low = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(bits - 1)
+            np.bitwise_or.at(table, low >> np.uint64(3), np.uint8(1) << (low & np.uint64(7)).astype(np.uint8))
+        yield from _slices(table)
 
     return _folded(rows.mapInArrow(run, "at long, part binary"), bits // 8, np.uint8, np.bitwise_or)
 
@@ -220,7 +221,7 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
                     names[row], sizes[row] = set_id(grams), len(grams)
                     waiting.append(grams)
                     held += len(grams)
-                    if held > 1 << 21:
+                    if held > 1 << 18:
                         count()
                         held = 0
             none = pa.nulls(b.num_rows, pa.int64())
