@@ -4,7 +4,8 @@ A document's set is its distinct shingles, as 64-bit hashes; equal sets are one
 
 1. The n-grams get one global order, rare ones first: by a level taken from a count sketch of
    all sets (a bounded table of signed counters, so that its error grows with the square root of
-   the corpus only), within a level by hash. The order is cut into ``FRAGMENTS`` fragments.
+   the corpus only), within a level by hash. Fragments of the order are the rare n-grams and the
+   frequent ones, each in hash ranges, as many as keep a fragment of a set to some ``PIECE`` n-grams.
 2. Two sets at the threshold have an n-gram in common among the first of each (its head, a fifth
    of a set at 0.8). Heads are counted by n-gram; what no second set has is dropped.
 3. Stars: each set is held against the one set that leads most of its n-grams. Thousands of near
@@ -35,7 +36,8 @@ from ledgerloom.llm.graph import connected_components
 from ledgerloom.llm.shared import discard, materialise, mix, ngram_hashes, span_hashes, text_blocks, text_hash, word_bounds
 
 SHINGLE, PERCENT = 5, 80
-FRAGMENTS = 4
+#: N-grams of a set in one fragment, about: what a row of a comparison holds.
+PIECE = 256
 #: Counters of the sketch, and bits of the tables that tell which n-grams and sets still matter.
 CELLS, BITS = 1 << 20, 1 << 26
 #: Counters or bytes of a table that travel as one row.
@@ -170,15 +172,24 @@ class Order:
         """Sorted hashes in the global order."""
         return grams[np.argsort(self.level(grams), kind="stable")]
 
-    def fragments(self, grams: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """A set's non-empty pieces, cut at fixed pivots of the order: hash ranges of level 0, then
-        the higher levels. Each is sorted by hash."""
+    def fragments(self, grams: np.ndarray, cuts: int) -> Iterator[tuple[int, np.ndarray]]:
+        """A set's non-empty pieces, cut at fixed pivots of the order: ``cuts`` hash ranges of the rare
+        n-grams (level 0), then as many of the frequent ones. Each piece is sorted by hash."""
         low = self.level(grams) == 0
-        rare = grams[low]
-        cuts = np.searchsorted(rare, [np.uint64((k << 64) // (FRAGMENTS - 1)) for k in range(1, FRAGMENTS - 1)])
-        for k, part in enumerate([*np.split(rare, cuts), grams[~low]]):
-            if len(part):
-                yield k, part
+        pivots = [np.uint64((k << 64) // cuts) for k in range(1, cuts)]
+        for first, part in ((0, grams[low]), (cuts, grams[~low])):
+            for k, piece in enumerate(np.split(part, np.searchsorted(part, pivots))):
+                if len(piece):
+                    yield first + k, piece
+
+
+def cuts_of(n: int) -> int:
+    """Hash ranges for sets of this size: a power of two, so that sets of like size have like cuts."""
+    return 1 << max(0, -(-n // PIECE) - 1).bit_length()
+
+
+def _cuts_of(n: Column) -> Column:
+    return F.when(n <= PIECE, 1).otherwise(F.pow(F.lit(2), F.length(F.bin(F.ceil(n / PIECE) - 1)))).cast("int")
 
 
 # ------------------------------------------------------------------ passes over the texts
@@ -268,9 +279,9 @@ def _heads(docs: DataFrame, order: Order, size: int, percent: int, shared: np.nd
     return docs.select("text").mapInArrow(run, "gram long, id long, n long, pos long")
 
 
-def _fragments(docs: DataFrame, order: Order, size: int, wanted: np.ndarray) -> DataFrame:
-    """(id, fragment, grams): the fragments of the sets whose text's hash the bitmap ``wanted``
-    holds, once each."""
+def _fragments(docs: DataFrame, order: Order, size: int, percent: int, wanted: np.ndarray) -> DataFrame:
+    """(id, cuts, fragment, grams): the pieces of the sets whose text's hash the bitmap ``wanted``
+    holds, once each; with the cuts of every partner's size, of which there are two or three."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def kept() -> Iterator[pa.RecordBatch]:
@@ -280,14 +291,21 @@ def _fragments(docs: DataFrame, order: Order, size: int, wanted: np.ndarray) ->
                     yield some
 
         for name, grams in _sets_of(kept(), size):
-            cut = list(order.fragments(grams))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(cut), pa.int64()), pa.array([k for k, _ in cut], pa.int32()), pa.array([p.tobytes() for _, p in cut], pa.binary())],
-                ["id", "fragment", "grams"],
-            )
-
-    rows = docs.select("text", text_hash().alias("text_hash")).mapInArrow(run, "id long, fragment int, grams binary")
-    return rows.groupBy("id", "fragment").agg(F.first("grams").alias("grams"))
+            n = len(grams)
+            for cuts in sorted({cuts_of(n), *(cuts_of(m) for m in (n, -(-n * 100 // percent)))}):
+                cut = list(order.fragments(grams, cuts))
+                for at in range(0, len(cut), 64):
+                    some = cut[at : at + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([name] * len(some), pa.int64()), pa.array([cuts] * len(some), pa.int32()),
+                            pa.array([k for k, _ in some], pa.int32()), pa.array([p.tobytes() for _, p in some], pa.binary()),
+                        ],
+                        ["id", "cuts", "fragment", "grams"],
+                    )
+
+    rows = docs.select("text", text_hash().alias("text_hash")).mapInArrow(run, "id long, cuts int, fragment int, grams binary")
+    return rows.groupBy("id", "cuts", "fragment").agg(F.first("grams").alias("grams"))
 
 
 # ------------------------------------------------------------------ the join
@@ -331,10 +349,11 @@ class Join:
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         texts = self.members.join(ids, "id").groupBy("id").agg(F.min("text_hash").alias("text_hash"))
         wanted = _bitmap(texts.select("text_hash"), BITS)
-        pieces = materialise(_fragments(self.docs, self.order, self.size, wanted), "jaccard-pieces")
-        one = pieces.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
-        two = pieces.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
-        met = pairs.join(one, "a").join(two, ["b", "fragment"])
+        pieces = materialise(_fragments(self.docs, self.order, self.size, self.percent, wanted), "jaccard-pieces")
+        one = pieces.select(F.col("id").alias("a"), "cuts", "fragment", F.col("grams").alias("x"))
+        two = pieces.select(F.col("id").alias("b"), "cuts", "fragment", F.col("grams").alias("y"))
+        # a pair is cut as its larger set is
+        met = pairs.withColumn("cuts", _cuts_of(F.greatest("na", "nb"))).join(one, ["a", "cuts"]).join(two, ["b", "cuts", "fragment"])
         sums = _partial_overlaps(met).groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
         union = F.col("na") + F.col("nb") - F.col("overlap")
         near = pairs.join(sums, ["a", "b"]).where(F.col("overlap") * 100 >= union * self.percent)

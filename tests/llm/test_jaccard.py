@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import clashing, edge_docs, empty, rows
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from ledgerloom.llm import jaccard
@@ -121,10 +122,25 @@ def test_fragments_partition_a_set_in_one_order():
     cell, sign = jaccard.Order.cell(grams[:200], jaccard.CELLS)
     counters[cell] = 1000 * (1 - 2 * sign)
     order = jaccard.Order(counters)
-    parts = dict(order.fragments(grams))
-    assert len(parts) == jaccard.FRAGMENTS and set(grams[:200]) <= set(parts[jaccard.FRAGMENTS - 1])
-    assert sorted(np.concatenate(list(parts.values()))) == grams.tolist()
-    assert set(order.arranged(grams)[-150:]) <= set(parts[jaccard.FRAGMENTS - 1])  # frequent ones last
+    for cuts in (1, 4):
+        parts = dict(order.fragments(grams, cuts))
+        frequent = np.concatenate([p for k, p in parts.items() if k >= cuts])
+        assert set(grams[:200]) <= set(frequent) and max(parts) < 2 * cuts
+        assert sorted(np.concatenate(list(parts.values()))) == grams.tolist()
+    assert set(order.arranged(grams)[-150:]) <= set(frequent)  # frequent ones last
+
+
+def test_cuts_agree_in_python_and_spark(spark):
+    sizes = [1, 2, 255, 256, 257, 511, 512, 513, 1024, 1025, 5000, 10**6]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", jaccard._cuts_of(F.col("n")).alias("cuts")).collect()
+    assert [(r.n, r.cuts) for r in rows] == [(n, jaccard.cuts_of(n)) for n in sizes]
+    assert all(n / jaccard.cuts_of(n) <= jaccard.PIECE for n in sizes)
+
+
+def test_long_sets_are_compared_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PIECE", 8)
+    docs = crowd(11)
+    assert found(jaccard.join(spark.createDataFrame(docs, DOCS))) == slow_join(docs)
 
 
 def test_long_texts_in_blocks(monkeypatch):
