@@ -50,21 +50,6 @@ def high_water_mark(target: DataFrame | None, ts_col: str) -> _dt.datetime:
     return row["m"] if row is not None and row["m"] is not None else EPOCH
 
 
-def partition_mark(target: DataFrame | None, ts_col: str, part_col: str) -> _dt.datetime:
-    """The same mark on a table partitioned by the day of ``ts_col``: only the newest
-    partition is aggregated (its value comes from a partition-only scan), so the cost
-    does not grow with the table's history."""
-    if target is None:
-        return EPOCH
-    newest = (
-        target.select(part_col).where(F.col(part_col).isNotNull()).distinct()
-        .orderBy(F.col(part_col).desc()).limit(1).collect()
-    )
-    if not newest:
-        return EPOCH
-    return high_water_mark(target.where(F.col(part_col) == F.lit(newest[0][0])), ts_col)
-
-
 def high_water_mark_df(target: DataFrame, ts_col: str) -> DataFrame:
     """Same mark as a one-row DataFrame (``mark``), for plans that keep it lazy."""
     return target.agg(F.coalesce(F.max(ts_col), ntz_lit(EPOCH)).alias("mark"))
@@ -72,12 +57,7 @@ def high_water_mark_df(target: DataFrame, ts_col: str) -> DataFrame:
 
 def incremental_slice(src: DataFrame, mark: _dt.datetime | Column, ts_col: str = "load_ts") -> DataFrame:
     """Rows strictly newer than the target's own high-water mark."""
-    m = mark if isinstance(mark, Column) else ntz_lit(mark)
-    out = src.where(F.col(ts_col) > m)
-    if not isinstance(mark, Column) and "load_date" in src.columns and ts_col == "load_ts":
-        # on a table partitioned by load day the same cut also prunes partitions
-        out = out.where(F.col("load_date") >= F.lit(mark.date()))
-    return out
+    return src.where(F.col(ts_col) > (mark if isinstance(mark, Column) else ntz_lit(mark)))
 
 
 def fact_candidates(valid: DataFrame) -> DataFrame:

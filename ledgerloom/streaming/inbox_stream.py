@@ -6,6 +6,9 @@ same path as the batch ingest: manifest of the batch's files, the LOADED-log gat
 header detection and positional parse, append to bronze, one log row per file.
 ``trigger(availableNow=True)`` turns it into a scheduled incremental job.
 
+With ``archive_dir`` the file source itself moves files there, each once a later trigger has
+committed the batch that read it.
+
 A batch that fails before its log row leaves nothing visible and is loaded again when the
 stream replays it; one that fails after it is skipped by the gate. Limit: the file source
 does not list empty files, so they get no log row.
@@ -46,11 +49,14 @@ def start_inbox_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """Start the inbox stream; ``available_now`` drains what is there and stops."""
     reader = spark.readStream.format("text").option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     writer = csv_inbox.with_file_columns(reader.load(inbox)).writeStream.foreachBatch(_load_batch(bronze_root.rstrip("/"))).option(
         "checkpointLocation", checkpoint
     )

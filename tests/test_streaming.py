@@ -20,3 +20,19 @@ def test_inbox_stream_available_now(spark, workdir):
     start_inbox_stream(spark, inbox, bronze, ck).awaitTermination()
     assert spark.read.parquet(os.path.join(bronze, "sales_raw")).count() == 15
     assert spark.read.parquet(os.path.join(bronze, "ingestion_log")).count() == 6
+
+
+def test_the_stream_archives_what_an_earlier_trigger_read(spark, workdir):
+    inbox, bronze, ck, arch = (os.path.join(workdir, x) for x in ("inbox", "bronze", "ck", "archive"))
+    names = [f"sales_2024112{i}.csv" for i in (1, 2, 3)]
+    for i, name in enumerate(names):
+        write_inbox(inbox, {name: f"s9,t{i},RCPT099,20241121T100000.000,$9.99,CASHIER\n"})
+        start_inbox_stream(spark, inbox, bronze, ck, archive_dir=arch).awaitTermination()
+    archived = {f for _, _, files in os.walk(arch) for f in files if not f.startswith(".")}
+    assert names[0] in archived and names[0] not in os.listdir(inbox)
+    assert set(names) <= archived | set(os.listdir(inbox))
+    # the gate still holds: an archived file that comes back is not loaded again
+    write_inbox(inbox, {names[0]: "s9,t0,RCPT099,20241121T100000.000,$1.00,CASHIER\n"})
+    start_inbox_stream(spark, inbox, bronze, ck, archive_dir=arch).awaitTermination()
+    assert spark.read.parquet(os.path.join(bronze, "sales_raw")).count() == 3
+    assert spark.read.parquet(os.path.join(bronze, "ingestion_log")).count() == 3
