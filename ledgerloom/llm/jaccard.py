@@ -42,6 +42,8 @@ PIECE = 256
 CELLS, BITS = 1 << 20, 1 << 26
 #: Counters or bytes of a table that travel as one row.
 SLICE = 1 << 14
+#: Bytes of text that are hashed at a time.
+BLOCK = 1 << 18
 #: Rounds of stars at most, and pairs for each head n-gram that are compared without another.
 STARS, EASY = 6, 4
 #: Sets that a task remembers, to pass over copies.
@@ -62,7 +64,7 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> Iterator[tuple[int, n
         return row, np.unique(np.concatenate(parts) if len(parts) > 1 else parts[0])
 
     held: tuple[int, list[np.ndarray], np.ndarray] | None = None
-    for block in text_blocks(column):
+    for block in text_blocks(column, BLOCK):
         starts, ends, per = word_bounds(block)
         words = span_hashes(block.buf, starts, ends)
         grams = ngram_hashes(words, size)

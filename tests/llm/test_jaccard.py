@@ -147,19 +147,13 @@ def test_long_texts_in_blocks(monkeypatch):
     text = " ".join(f"Word{i * i % 3001}" for i in range(20_000))
     column = pa.array([None, text, "a b", "", "one two three four five", "x" * 5000])
     whole = [(r, s.tolist()) for r, s in jaccard.shingle_sets(column)]
-    monkeypatch.setattr(jaccard, "text_blocks", lambda c: jaccard_blocks(c, 700))
+    monkeypatch.setattr(jaccard, "BLOCK", 700)
     pieces = [(r, s.tolist()) for r, s in jaccard.shingle_sets(column)]
     assert pieces == whole
     sizes = {r: len(s) for r, s in whole}
     assert all(sizes.get(i, 0) == len(slow_set(t)) for i, t in enumerate(column.to_pylist()))
 
 
-def jaccard_blocks(column, limit):
-    from ledgerloom.llm.shared import text_blocks
-
-    return text_blocks(column, limit)
-
-
 def test_edge_cases(spark):
     docs = edge_docs(spark)
     got = jaccard.join(clashing(docs))
