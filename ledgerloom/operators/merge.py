@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import EPOCH, ntz_lit, receipt_length_ok, surrogate_key
@@ -172,5 +172,38 @@ def scd2_apply(dim: DataFrame | None, stores_clean: DataFrame, incremental: bool
     return met.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def scd2_history(stores_clean: DataFrame) -> DataFrame:
+    """The whole dimension out of all versions ever delivered, in any order: consecutive versions
+    with equal attributes are one interval (an island), which ends where the next begins."""
+    same = ["store_token", "load_ts"]
+    once = latest_wins(stores_clean, same, store_order(stores_clean)).select(*same, "store_group", "store_name")
+    by_time = Window.partitionBy("store_token").orderBy("load_ts")
+    once = once.withColumns({
+        "before": F.lag(F.struct("store_group", "store_name")).over(by_time),
+        "first_seen_ts": F.min("load_ts").over(Window.partitionBy("store_token")),
+    })
+    begins = ~F.col("before").eqNullSafe(F.struct("store_group", "store_name"))
+    rows = once.where(begins).withColumn("valid_to", F.lead("load_ts").over(by_time))
+    return rows.select(
+        surrogate_key("store_token", "load_ts").alias("dim_store_key"),
+        "store_token", "store_group", "store_name",
+        F.col("load_ts").alias("valid_from"),
+        "valid_to",
+        F.col("valid_to").isNull().alias("is_current"),
+        "first_seen_ts",
+        F.coalesce("valid_to", "load_ts").alias("last_load_ts"),
+    )
+
+
+def scd2_splice(dim: DataFrame | None, news: DataFrame, known: DataFrame) -> DataFrame:
+    """The dimension after versions that may be older than those it holds: the stores of ``news`` are
+    built anew from ``known``, all their versions (``news`` among them); the others stay."""
+    if dim is None:
+        return scd2_history(known)
+    tokens = news.select("store_token").distinct()
+    rebuilt = scd2_history(known.join(tokens, "store_token", "left_semi"))
+    return dim.join(tokens, "store_token", "left_anti").unionByName(rebuilt)
+
+
 def dim_current(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("is_current"))

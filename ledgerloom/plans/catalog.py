@@ -20,7 +20,7 @@ from ledgerloom.functions.columns import (
     null_if_token,
     parse_transaction_time,
 )
-from ledgerloom.operators import checks, merge, quality, reports
+from ledgerloom.operators import checks, distinct, merge, quality, reports
 from ledgerloom.operators.dedup import last_n_values
 from ledgerloom.session import scratch_path, shared_dir
 from ledgerloom.sources import adapters, csv_inbox, tables
@@ -39,6 +39,11 @@ DELIVERY_DAYS = (_dt.date(2024, 1, 1), _dt.date(2024, 1, 2))
 DELIVERY_FILES = 4
 RUN_TIME = _dt.time(3, 0)
 QUOTED_MOD, SHORT_MOD, LONG_MOD = 79, 71, 73
+# Files of the second inbox of the content gate: whose lines, under which name.
+CONTENT_FILES = (("{d1}_0", "sales_20240105_0"), ("{d1}_1", "sales_20240105_1"), ("{d2}_2", "{d1}_2"), ("{d1}_3", "{d1}_3"), ("{d2}_0", "{d2}_0"))
+# A record whose quoted field has no end, and the trailing window of the distinct counts.
+OPEN_LINE = 'left,"open'
+TRAILING_DAYS = 7
 # --- end of fixed values ---
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -324,18 +329,19 @@ def write_deliveries(
     return inbox
 
 
-def sales_files(lineitem: DataFrame) -> DataFrame:
+def sales_files(lineitem: DataFrame, breaks: bool = False) -> DataFrame:
     """``lineitem`` as lines of CSV deliveries: ``(file, place, line)``.
 
     Two days of DELIVERY_FILES files each; the first file of a day has a header. Lines come
-    quoted, short, long, and with NULL spelled in two ways.
+    quoted, short, long, and with NULL spelled in two ways. With ``breaks`` the quoted fields
+    hold a line break, and each file ends with a quoted field that has no end.
     """
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_returnflag"]
     wide = adapters.raw_sales(lineitem, keep=order)
     pk = F.col("l_partkey")
     null = F.when(pk % 2 == 0, F.lit("NULL")).otherwise(F.lit(""))
     told = [F.coalesce(F.col(c), null) for c in SALES_COLUMNS]
-    role = F.when(pk % QUOTED_MOD == 0, F.concat(F.lit('"'), told[5], F.lit(', x"'))).otherwise(told[5])
+    role = F.when(pk % QUOTED_MOD == 0, F.concat(F.lit('"'), told[5], F.lit(',\n x"' if breaks else ', x"'))).otherwise(told[5])
     line = (
         F.when(pk % SHORT_MOD == 0, F.concat_ws(",", *told[:4]))
         .when(pk % LONG_MOD == 0, F.concat_ws(",", *told[:5], role, F.lit("more"), F.lit("more")))
@@ -347,8 +353,11 @@ def sales_files(lineitem: DataFrame) -> DataFrame:
     lines = wide.select(file.alias("file"), F.struct(F.lit(1).alias("body"), *order).alias("place"), line.alias("line"))
     heads = lines.select("file").distinct().where(F.col("file").endswith("_0"))
     none = [F.lit(None).cast(lines.schema["place"].dataType[c].dataType).alias(c) for c in order]
-    head = F.struct(F.lit(0).alias("body"), *none)
-    return lines.unionByName(heads.select("file", head.alias("place"), F.lit(",".join(SALES_COLUMNS)).alias("line")))
+    head, tail = (F.struct(F.lit(body).alias("body"), *none) for body in (0, 2))
+    out = lines.unionByName(heads.select("file", head.alias("place"), F.lit(",".join(SALES_COLUMNS)).alias("line")))
+    if breaks:
+        out = out.unionByName(lines.select("file").distinct().select("file", tail.alias("place"), F.lit(OPEN_LINE).alias("line")))
+    return out
 
 
 def write_files(spark: SparkSession, lines: DataFrame, inbox: str) -> str:
@@ -410,19 +419,128 @@ def q_ingest_summary(spark, sf_dir):
     return out
 
 
-def q_daily_run_two_deliveries(spark, sf_dir):
-    """Two daily runs over CSV deliveries; then fact (by day), dimension and reports, one row
-    ``(table_name, k, v)`` for each of theirs."""
+def _two_daily_runs(spark, sf_dir, name: str, **options) -> str:
+    """A daily run for each of the two deliveries; their root folder (tables below ``wh``)."""
     from ledgerloom.plans import daily_run
 
-    root = scratch_path(spark, "daily")
+    root = scratch_path(spark, name)
     lines = sales_files(read_table(spark, sf_dir, "lineitem"))
     for day, stores in zip(DELIVERY_DAYS, _store_deliveries(spark, sf_dir)):
         prefix = f"{day:%Y%m%d}"
         inbox = write_files(spark, lines.where(F.col("file").startswith(f"sales_{prefix}")), f"{root}/in{prefix}")
         write_deliveries(spark, {f"stores_{prefix}": stores}, inbox, {}, files=1)
-        daily_run.run_daily(spark, inbox, f"{root}/wh", run_ts=_dt.datetime.combine(day, RUN_TIME), snapshot_date=SNAPSHOT_DATE,
-                            fact_by="month")  # lineitem has few rows a day
+        if "archive_dir" in options:
+            options["archive_dir"] = f"{root}/archive"
+        daily_run.run_daily(spark, inbox, f"{root}/wh", run_ts=_dt.datetime.combine(day, RUN_TIME), snapshot_date=SNAPSHOT_DATE, **options)
+    return root
+
+
+def q_daily_run_outputs(spark, sf_dir):
+    """Two daily runs with the fact by day; then what leaves them, ``(output, place, k, v)``: the
+    reports in the order in which they are read, the same out of the exported CSV files, and the
+    archived sales files with their lines."""
+    from ledgerloom.plans import daily_run
+
+    root = _two_daily_runs(spark, sf_dir, "outputs", archive_dir=True)
+    keys = {"report_batches": "batch_date", "report_daily": "transaction_date", "report_topk": "transaction_date"}
+    values = {
+        "report_batches": ["total_processed_raw", "total_valid", "total_invalid"],
+        "report_daily": ["total_sales_amount", "top_store_token"],
+        "report_topk": ["top_rank_id", "store_total_sales", "store_token", "store_name"],
+    }
+    daily_run.export_reports_csv(spark, f"{root}/wh", f"{root}/out")
+    out = []
+    for name, key in keys.items():
+        read = {"read": daily_run.read_report(spark, f"{root}/wh", name), "csv": spark.read.option("header", "true").csv(f"{root}/out/{name}")}
+        for how, df in read.items():
+            # a report has a few dozen rows: they are fetched in the order in which they come
+            for place, r in enumerate(df.select(key, *values[name]).collect(), 1):
+                out.append((f"{how}:{name}", place, str(r[0]), "|".join("-" if x is None else str(x) for x in r[1:])))
+    rows = spark.createDataFrame(out, "output string, place long, k string, v string")
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "sales_*.csv").text(f"{root}/archive")
+    where = F.regexp_extract(F.col("_metadata.file_path"), r"archive/(.*)$", 1)
+    files = lines.groupBy(where.alias("k")).agg(F.count(F.lit(1)).cast("string").alias("v"))
+    return rows.unionByName(files.select(F.lit("archive").alias("output"), F.lit(0).cast("long").alias("place"), "k", "v"))
+
+
+def q_sales_stream_fact(spark, sf_dir):
+    """The two deliveries as files of silver, a few at a time through the stream, into the fact."""
+    from ledgerloom.plans import daily_run
+    from ledgerloom.streaming import sales_stream
+
+    root = scratch_path(spark, "stream")
+    p = daily_run._paths(f"{root}/wh")
+    lines = sales_files(read_table(spark, sf_dir, "lineitem"))
+    for day in DELIVERY_DAYS:
+        inbox = write_files(spark, lines.where(F.col("file").startswith(f"sales_{day:%Y%m%d}")), f"{root}/in{day:%Y%m%d}")
+        csv_inbox.ingest(spark, inbox, p["bronze"], run_ts=_dt.datetime.combine(day, RUN_TIME))
+        daily_run.build_silver(spark, p)
+        sales_stream.start_fact_stream(spark, f"{root}/wh", f"{root}/ck", fact_by="month").awaitTermination()
+    fact = daily_run.read_table(spark, f"{root}/wh", "fact_sales")
+    return fact.select("store_token", "transaction_id", "transaction_time", "amount", "batch_date")
+
+
+def q_ingest_quoted_breaks(spark, sf_dir):
+    """``lineitem`` through CSV files with quoted line breaks into bronze."""
+    root = scratch_path(spark, "quoted")
+    inbox = write_files(spark, sales_files(read_table(spark, sf_dir, "lineitem"), breaks=True), f"{root}/inbox")
+    csv_inbox.ingest(spark, inbox, f"{root}/bronze", run_ts=RUN_LOG_TS)
+    return csv_inbox.bronze(spark, f"{root}/bronze", "sales").select(*SALES_COLUMNS, "batch_date", "file_name", "load_ts")
+
+
+def q_ingest_errors(spark, sf_dir):
+    """The malformed records of the same files: one in each, the last."""
+    root = scratch_path(spark, "errors")
+    inbox = write_files(spark, sales_files(read_table(spark, sf_dir, "lineitem"), breaks=True), f"{root}/inbox")
+    csv_inbox.ingest(spark, inbox, f"{root}/bronze", run_ts=RUN_LOG_TS)
+    return csv_inbox.ingestion_errors(spark, f"{root}/bronze").select("file_type", "batch_date", "file_name", "n_lines", "reason", "text")
+
+
+def q_ingest_content_gate(spark, sf_dir):
+    """The first day's files, then an inbox of renamed copies, one file again, one of the same name
+    with other content, and a new one: the second summary."""
+    root = scratch_path(spark, "content")
+    lines = sales_files(read_table(spark, sf_dir, "lineitem"))
+    d1, d2 = (f"sales_{d:%Y%m%d}" for d in DELIVERY_DAYS)
+    csv_inbox.ingest(spark, write_files(spark, lines.where(F.col("file").startswith(d1)), f"{root}/in1"), f"{root}/bronze",
+                     run_ts=RUN_LOG_TS, by_content=True)
+    again = None
+    for source, name in CONTENT_FILES:
+        part = lines.where(F.col("file") == source.format(d1=d1, d2=d2)).withColumn("file", F.lit(name.format(d1=d1, d2=d2)))
+        again = part if again is None else again.unionByName(part)
+    return csv_inbox.ingest(spark, write_files(spark, again, f"{root}/in2"), f"{root}/bronze", by_content=True).summary
+
+
+def q_dim_scd2_any_order(spark, sf_dir):
+    """The dimension of both store deliveries, the second one delivered first."""
+    late = _stores_clean(spark, sf_dir, (1,))
+    dim = merge.scd2_splice(None, _stores_clean(spark, sf_dir, (2,)), _stores_clean(spark, sf_dir, (2,)))
+    return merge.scd2_splice(dim, late, _stores_clean(spark, sf_dir))
+
+
+def q_distinct_stores_by_window(spark, sf_dir):
+    """Stores with sales per day, per month and per trailing week, from one set of day bitmaps."""
+    totals = reports.daily_store_totals(_stored_fact(spark, sf_dir))
+    known = totals.join(distinct.numbered(totals, "store_token"), "store_token")
+    shared_dir(spark)
+    maps = distinct.bitmaps(known, ["transaction_date"]).checkpoint(eager=True)
+    days = maps.select("transaction_date").distinct()
+    week = distinct.trailing(maps, "transaction_date", TRAILING_DAYS).join(days, "transaction_date", "left_semi")
+    month = F.trunc("transaction_date", "month").alias("period")
+    parts = [("day", maps, F.col("transaction_date").alias("period")), ("month", maps, month), ("week", week, F.col("transaction_date").alias("period"))]
+    out = None
+    for name, rows, key in parts:
+        part = distinct.counts(rows, [key], "stores").select(F.lit(name).alias("kind"), "period", "stores")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_daily_run_two_deliveries(spark, sf_dir):
+    """Two daily runs over CSV deliveries; then fact (by day), dimension and reports, one row
+    ``(table_name, k, v)`` for each of theirs."""
+    from ledgerloom.plans import daily_run
+
+    root = _two_daily_runs(spark, sf_dir, "daily", fact_by="month")  # lineitem has few rows a day
     t = daily_run.read_tables(spark, f"{root}/wh", ("fact_sales", "dim_store", *daily_run.REPORT_ORDER))
     text = lambda *cols: F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in cols])
     day = F.col("transaction_time").cast("date").alias("transaction_date")
@@ -478,5 +596,12 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_roundtrip": q_ingest_csv_roundtrip,
     "ingest_sales_roundtrip": q_ingest_sales_roundtrip,
     "ingest_summary": q_ingest_summary,
+    "ingest_quoted_breaks": q_ingest_quoted_breaks,
+    "ingest_errors": q_ingest_errors,
+    "ingest_content_gate": q_ingest_content_gate,
+    "dim_scd2_any_order": q_dim_scd2_any_order,
+    "distinct_stores_by_window": q_distinct_stores_by_window,
     "daily_run_two_deliveries": q_daily_run_two_deliveries,
+    "daily_run_outputs": q_daily_run_outputs,
+    "sales_stream_fact": q_sales_stream_fact,
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from ledgerloom.operators import checks
 from ledgerloom.plans import catalog
+from ledgerloom.sources import csv_inbox
 
 SNAP = f"DATE '{catalog.SNAPSHOT_DATE.isoformat()}'"
 EPOCH = "TIMESTAMP '1970-01-01 00:00:00'"
@@ -255,8 +256,10 @@ def _ts(dt) -> str:
 _DAY2 = f"l_shipdate >= DATE '{catalog.MERGE_CUTOFF.isoformat()}'"
 
 
-def delivered(one_run: bool) -> str:
-    """The deliveries' rows; load stamps as of one run over both days, or of a run for each."""
+def delivered(one_run: bool, breaks: bool = False) -> str:
+    """The deliveries' rows; load stamps as of one run over both days, or of a run for each; quoted
+    roles with a line break or without."""
+    quoted = "',' || chr(10) || ' x'" if breaks else "', x'"
     number = f"l_orderkey % {catalog.DELIVERY_FILES}"
     if one_run:
         at = f"{_ts(catalog.RUN_LOG_TS)} + to_milliseconds({number} + CASE WHEN {_DAY2} THEN {catalog.DELIVERY_FILES} ELSE 0 END)"
@@ -267,7 +270,7 @@ def delivered(one_run: bool) -> str:
   SELECT * REPLACE (
       CASE WHEN l_partkey % {catalog.SHORT_MOD} <> 0 THEN amount END AS amount,
       CASE WHEN l_partkey % {catalog.SHORT_MOD} = 0 THEN NULL
-           WHEN l_partkey % {catalog.QUOTED_MOD} = 0 AND l_partkey % {catalog.SHORT_MOD} <> 0 THEN user_role || ', x'
+           WHEN l_partkey % {catalog.QUOTED_MOD} = 0 AND l_partkey % {catalog.SHORT_MOD} <> 0 THEN user_role || {quoted}
            ELSE user_role END AS user_role),
     day AS batch_date, 'sales_' || strftime(day, '%Y%m%d') || '_' || CAST({number} AS VARCHAR) || '.csv' AS file_name,
     {at} AS load_ts
@@ -314,9 +317,59 @@ _RESULTS = "\nUNION ALL\n".join([
     _told("report_topk", "CAST(transaction_date AS VARCHAR) || '|' || CAST(top_rank_id AS VARCHAR)",
           ["store_total_sales", "store_token", "store_name"]).format("report_topk"),
 ])
+
+
+def _ordered(report: str, key: str, values: list[str], order: str) -> str:
+    """A report with the places of its rows, as it is read and as it is exported."""
+    v = " || '|' || ".join(f"coalesce(CAST({x} AS VARCHAR), '-')" for x in values)
+    return f"""SELECT how || ':{report}' AS output, row_number() OVER (PARTITION BY how ORDER BY {order}) AS place,
+  CAST({key} AS VARCHAR) AS k, {v} AS v FROM {report}, (SELECT unnest(['read', 'csv']) AS how)"""
+
+
+_OUTPUTS = "\nUNION ALL\n".join([
+    _ordered("report_batches", "batch_date", ["total_processed_raw", "total_valid", "total_invalid"], "batch_date DESC"),
+    _ordered("report_daily", "transaction_date", ["total_sales_amount", "top_store_token"], "transaction_date DESC"),
+    _ordered("report_topk", "transaction_date", ["top_rank_id", "store_total_sales", "store_token", "store_name"],
+             "transaction_date DESC, top_rank_id"),
+    # the first file of a day has a header line
+    """SELECT 'archive', 0, 'sales/' || strftime(batch_date, '%Y%m%d') || '/' || file_name,
+  CAST(count(*) + CASE WHEN file_name LIKE '%\\_0.csv' ESCAPE '\\' THEN 1 ELSE 0 END AS VARCHAR) FROM raw GROUP BY batch_date, file_name""",
+])
+_D1, _D2 = (f"sales_{d:%Y%m%d}" for d in catalog.DELIVERY_DAYS)
 _LOADED = "SELECT file_name, batch_date, count(*) AS n FROM raw GROUP BY ALL"
 
 ORACLE_SQL: dict[str, str] = {
+    "ingest_quoted_breaks": f"WITH {delivered(True, True)}\nSELECT {_SALES_RAW} FROM raw",
+    "ingest_errors": f"""WITH {delivered(True)}
+SELECT DISTINCT 'sales' AS file_type, batch_date, file_name, 1 AS n_lines, '{csv_inbox.REASON_OPEN_QUOTE}' AS reason,
+       '{catalog.OPEN_LINE}' AS text FROM raw""",
+    "ingest_content_gate": f"""WITH {delivered(True)},
+n AS (SELECT count(*) AS n FROM raw WHERE file_name = '{_D2}_0.csv')
+SELECT * FROM (VALUES
+  ('sales_20240105_0.csv', 'sales', DATE '2024-01-05', 'SKIPPED', '{csv_inbox.REASON_CONTENT}', 0::BIGINT),
+  ('sales_20240105_1.csv', 'sales', DATE '2024-01-05', 'SKIPPED', '{csv_inbox.REASON_CONTENT}', 0),
+  ('{_D1}_2.csv', 'sales', DATE '{catalog.DELIVERY_DAYS[0]}', 'SKIPPED', '{csv_inbox.REASON_CHANGED}', 0),
+  ('{_D1}_3.csv', 'sales', DATE '{catalog.DELIVERY_DAYS[0]}', 'SKIPPED', '{csv_inbox.REASON_ALREADY}', 0)
+) t(file_name, file_type, batch_date, status, reason, row_count)
+UNION ALL SELECT '{_D2}_0.csv', 'sales', DATE '{catalog.DELIVERY_DAYS[1]}', 'LOADED', NULL, n FROM n""",
+    "dim_scd2_any_order": f"WITH {RAW_STORES},\n{DIM}\nSELECT * FROM dim",
+    "distinct_stores_by_window": f"""{SALES_FACT},
+sold AS (SELECT DISTINCT CAST(transaction_time AS DATE) AS day, store_token FROM fact)
+SELECT 'day' AS kind, day AS period, count(DISTINCT store_token) AS stores FROM sold GROUP BY day
+UNION ALL SELECT 'month', CAST(date_trunc('month', day) AS DATE), count(DISTINCT store_token) FROM sold GROUP BY ALL
+UNION ALL SELECT 'week', d.day, count(DISTINCT s.store_token) FROM (SELECT DISTINCT day FROM sold) d
+  JOIN sold s ON s.day BETWEEN d.day - {catalog.TRAILING_DAYS - 1} AND d.day GROUP BY d.day""",
+    "daily_run_outputs": f"""WITH {delivered(False)},
+{PARSED},
+{DELIVERED_FACT},
+{DELIVERED_STORES},
+{DIM},
+{PER_STORE},
+{REPORT_BATCHES},
+{REPORT_DAILY},
+{REPORT_TOPK}
+{_OUTPUTS}""",
+    "sales_stream_fact": f"WITH {delivered(False)},\n{PARSED},\n{DELIVERED_FACT}\nSELECT * FROM fact",
     "ingest_sales_roundtrip": f"WITH {delivered(True)}\nSELECT {_SALES_RAW} FROM raw",
     "ingest_summary": f"""WITH {delivered(True)},
 files AS ({_LOADED}),

@@ -12,8 +12,11 @@ works on local disk, HDFS or an object store.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 VERSION_PREFIX = "_v"
 
@@ -137,6 +140,51 @@ def read_partitions(spark: SparkSession, path: str, column: str, values: list[st
     return spark.read.option("basePath", path).parquet(*[f"{path}/{column}={v}" for v in wanted])
 
 
+def _folds(spark: SparkSession, path: str) -> dict[str, str]:
+    rows = read_or_none(spark, path)
+    return {} if rows is None else {r["old"]: r["new"] for r in rows.collect()}  # a row per folded run
+
+
+def folded_into(spark: SparkSession, path: str, runs: list[str]) -> list[str]:
+    """The runs that hold the rows of ``runs`` now, by the folds committed at ``path``."""
+    to, out = _folds(spark, path), set()
+    for run in runs:
+        while run in to:
+            run = to[run]
+        out.add(run)
+    return sorted(out)
+
+
+def fold(spark: SparkSession, path: str, column: str, runs: list[str], stored: dict[str, str], by: dict[str, list[str]],
+         least: int, keep: DataFrame | None = None) -> int:
+    """Merge the folders ``column=run`` of the given runs in each table of ``stored`` into those of a
+    new run, committed at ``path``; how many folders' runs were merged (0 if fewer than ``least``).
+    ``keep(file_name, column)`` names the rows that count, where not all do."""
+    to = _folds(spark, path)
+    for table in stored.values():
+        for run in partition_values(spark, table, column):
+            if run in to:  # committed, but not deleted
+                delete(spark, f"{table}/{column}={run}")
+    now = folded_into(spark, path, runs)
+    if len(now) < max(least, 2):
+        return 0
+    new = f"fold-{uuid.uuid4().hex}"
+    for name, table in stored.items():
+        rows = read_partitions(spark, table, column, now)
+        if rows is None:
+            continue
+        if keep is not None:
+            # rows of an earlier fold are those that count
+            rows = rows.withColumn("_run", F.col(column)).join(keep.withColumnRenamed(column, "_run"), ["file_name", "_run"], "left_semi").unionByName(
+                rows.where(F.col(column).startswith("fold-")).withColumn("_run", F.col(column))).drop("_run")
+        append(rows.withColumn(column, F.lit(new)), table, [column, *by[name]])
+    spark.createDataFrame([(r, new) for r in now], "old string, new string").coalesce(1).write.mode("append").parquet(path)
+    for table in stored.values():
+        for run in now:
+            delete(spark, f"{table}/{column}={run}")
+    return len(now)
+
+
 def stage_partitions(rows: DataFrame, stage: str, name: str) -> None:
     """Set apart the new rows of some partitions of the table ``name``."""
     rows.write.parquet(f"{stage}/{name}")
