@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import connected_components
-from ledgerloom.llm.shared import discard, materialise, mix, ngram_hashes, span_hashes, text_blocks, text_hash, word_bounds
+from ledgerloom.llm.shared import discard, materialise, mix, ngram_hashes, small_batches, span_hashes, text_blocks, text_hash, word_bounds
 
 SHINGLE, PERCENT = 5, 80
 #: N-grams of a set in one fragment, about: what a row of a comparison holds.
@@ -451,8 +451,9 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     id is its smallest non-null one (null if none). Repeated rows give repeated rows; extra columns
     are ignored; an empty table gives no row.
     """
-    found = Join(docs, size, percent)
-    roots = found.components()
+    with small_batches(docs.sparkSession):
+        found = Join(docs, size, percent)
+        roots = found.components()
     ids = found.members.where("id is not null").groupBy("id").agg(F.min("doc_id").alias("least"))
     ids = ids.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -8,6 +8,7 @@ unbroken word may exceed it).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.tables import delete
 from ledgerloom.session import scratch_path
+from ledgerloom.sources.tables import delete
 
 BLOCK_BYTES = 1 << 20
 
@@ -54,6 +55,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs that run in this block send their Python workers so many rows at a time, at most: ten
+    thousand texts, the default, take both sides of the pipe over 100 MB a task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(was)) if int(was) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def discard(*written: DataFrame) -> None:
     """Remove tables of ``materialise`` that nothing will read again."""
     for df in written:
