@@ -8,13 +8,14 @@ A document's set is its distinct shingles, as 64-bit hashes; equal sets are one
    frequent ones, each in hash ranges, as many as keep a fragment of a set to some ``PIECE`` n-grams.
 2. Two sets at the threshold have an n-gram in common among the first of each (its head, a fifth
    of a set at 0.8). Heads are counted by n-gram; what no second set has is dropped.
-3. Stars: each set is held against the one set that leads most of its n-grams. Thousands of near
-   copies so become one class with one comparison each. Rounds go on while the pairs that they
-   leave are many.
+3. Stars: an n-gram is led by the set that has the fewest n-grams before it, so that of near
+   copies of one text it is the one with the fewest n-grams of its own; each set is held against
+   the set that leads most of its n-grams. Thousands of near copies so become one class with
+   one comparison each.
 4. What is left are pairs of different classes that meet in a head: for each n-gram, the sets
    outside its largest class against all. Pairs within a class need no comparison, so no group is
-   expanded. The heads are prefixes of one order: what a pair has in common there, and what
-   can be left behind the heads, bounds its overlap, and few pairs pass.
+   expanded. What stands before the first n-gram in common is not in the other set, which bounds
+   the overlap, and few pairs pass.
 5. A comparison is vertical: the fragments of both sets are joined fragment by fragment, the
    partial overlaps counted apart and summed per pair, and the sum decides exactly.
 6. Connected components over the links.
@@ -39,13 +40,13 @@ SHINGLE, PERCENT = 5, 80
 #: N-grams of a set in one fragment, about: what a row of a comparison holds.
 PIECE = 256
 #: Counters of the sketch, and bits of the tables that tell which n-grams and sets still matter.
-CELLS, BITS = 1 << 20, 1 << 26
+CELLS, BITS = 1 << 22, 1 << 26
 #: Counters or bytes of a table that travel as one row.
 SLICE = 1 << 14
 #: Bytes of text that are hashed at a time.
 BLOCK = 1 << 18
-#: Rounds of stars at most, and pairs for each head n-gram that are compared without another.
-STARS, EASY = 6, 4
+#: Rounds of stars at most; there is another only after one that linked half of its pairs.
+STARS = 6
 #: Sets that a task remembers, to pass over copies.
 SEEN = 1 << 16
 
@@ -147,11 +148,14 @@ def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def levels(counters: np.ndarray) -> np.ndarray:
-    """Level of an n-gram by its cell and sign: 0 for what the sketch cannot tell from a rare
-    one (four times its error), then one more each time the estimate doubles."""
-    error = max(4.0, 4 * 1.4826 * float(np.median(np.abs(counters))))
-    both = np.stack([counters, -counters]).astype(float)
-    return np.where(both >= error, 1 + np.log2(np.maximum(both, error) / error), 0).astype(np.uint8)
+    """Level of an n-gram by its sign and cell: 0 for what the sketch cannot tell from a rare one
+    (twice its error), then one more each time the estimate doubles."""
+    error = max(4.0, 2 * 1.4826 * float(np.median(np.abs(counters))))
+    out = np.zeros((2, len(counters)), np.uint8)
+    for sign, row in zip((1, -1), out, strict=True):
+        at = np.flatnonzero(sign * counters >= error)
+        row[at] = 1 + np.log2(np.abs(counters[at]) / error)
+    return out
 
 
 class Order:
@@ -217,13 +221,13 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
     and each task's sketch in rows of their own (``at`` not null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(CELLS, np.int64)
+        counters = np.zeros(CELLS, np.int32)
         waiting: list[np.ndarray] = []
 
         def count() -> None:
             if waiting:
                 cell, sign = Order.cell(np.concatenate(waiting), CELLS)
-                counters.__iadd__(np.bincount(cell, 1.0 - 2 * sign, CELLS).astype(np.int64))
+                np.add.at(counters, cell, (1 - 2 * sign).astype(np.int32))
                 waiting.clear()
 
         held = 0
@@ -243,7 +247,7 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
                 columns,
             )
         count()
-        for s in _slices(counters):
+        for s in _slices(counters.astype(np.int64)):
             none = pa.nulls(s.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, none, *s.columns], columns)
 
@@ -363,56 +367,41 @@ class Join:
         discard(pieces, pairs)
         return out
 
-    def possible(self, na: str, nb: str, common: str) -> Column:
-        """Whether sets of these sizes with so many n-grams in common among their heads can reach
-        the threshold: behind the head that ends first, no more than that set's rest is common."""
-        least = F.ceil((F.col(na) + F.col(nb)) * self.percent / (100 + self.percent))
-        rest = F.ceil(F.greatest(na, nb) * self.percent / 100) - 1
-        sizes = F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent
-        return sizes & (F.col(common) + rest >= least)
+    def possible(self, one: str, two: str) -> Column:
+        """Whether sets whose columns end in these names can reach the threshold, if an n-gram of these
+        places is the first that they have in common: none before it is in the other set."""
+        n, m = F.col(f"n{one}"), F.col(f"n{two}")
+        left = F.least(n - F.col(f"pos{one}"), m - F.col(f"pos{two}"))
+        sizes = F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
+        return sizes & (left >= F.ceil((n + m) * self.percent / (100 + self.percent)))
 
     def stars(self, heads: DataFrame) -> DataFrame:
-        """Sets of ``heads(gram, id, n, c, ...)``, each with the set of another class that leads most
-        of its n-grams (the one of the smallest name), where so many make a link likely."""
-        lead = heads.groupBy("gram").agg(F.min(F.struct("c", "id", "n")).alias("lead"))
-        votes = heads.join(lead, "gram").where(F.col("c") != F.col("lead.c"))
-        votes = votes.groupBy("id", "n", "lead").agg(F.count("*").alias("votes"))
-        best = votes.groupBy("id", "n").agg(F.max(F.struct("votes", "lead")).alias("best"))
-        best = best.select(
-            F.col("id").alias("a"), F.col("best.lead.id").alias("b"), F.col("n").alias("na"), F.col("best.lead.n").alias("nb"), "best.votes"
-        )
-        return best.where(self.possible("na", "nb", "votes")).drop("votes")
-
-    @staticmethod
-    def _by_class(heads: DataFrame) -> DataFrame:
-        """(gram, main, size, top): each n-gram's largest class, its sets, and those of that class."""
-        parts = heads.groupBy("gram", "c").agg(F.count("*").alias("k"))
-        main = F.max_by("c", F.struct("k", "c")).alias("main")
-        return parts.groupBy("gram").agg(main, F.sum("k").alias("size"), F.max("k").alias("top"))
-
-    def hard(self, heads: DataFrame) -> bool:
-        """Whether ``crossing`` would make many more rows than it reads."""
-        work = self._by_class(heads).agg(F.sum((F.col("size") - F.col("top")) * F.col("size")).alias("pairs"), F.sum("size").alias("rows")).first()
-        return (work["pairs"] or 0) > EASY * (work["rows"] or 0)
+        """Sets of ``heads(gram, id, n, pos, c)``, each with the set of another class that leads most
+        of the n-grams at which the two can be near."""
+        lead = F.min(F.struct("pos", "c", "id", "n")).alias("lead")
+        rows = heads.join(heads.groupBy("gram").agg(lead), "gram").where(F.col("c") != F.col("lead.c"))
+        rows = rows.select("id", "n", "pos", *[F.col(f"lead.{c}").alias(f"{c}_lead") for c in ("id", "n", "pos")])
+        votes = rows.where(self.possible("", "_lead")).groupBy("id", "n", "id_lead", "n_lead").agg(F.count("*").alias("votes"))
+        best = votes.groupBy("id", "n").agg(F.max(F.struct("votes", "id_lead", "n_lead")).alias("best"))
+        return best.select(F.col("id").alias("a"), F.col("best.id_lead").alias("b"), F.col("n").alias("na"), F.col("best.n_lead").alias("nb"))
 
     def crossing(self, heads: DataFrame) -> DataFrame:
-        """Pairs of sets of different classes ``c`` that can reach the threshold, by the n-grams that
-        they have in common in ``heads``: of each, the sets outside its largest class with
-        all sets of other classes."""
-        rows = heads.join(self._by_class(heads).where("top < size").select("gram", "main"), "gram")
-        rows = rows.withColumn("minor", F.col("c") != F.col("main"))
+        """Pairs of sets of different classes ``c`` that meet in an n-gram of ``heads`` at which they
+        can be near: of each n-gram, the sets outside its largest class with all sets of other
+        classes. The first n-gram that a near pair has in common is among them."""
+        parts = heads.groupBy("gram", "c").agg(F.count("*").alias("k"), F.min("n").alias("least"))
+        main = F.max_by("c", F.struct("k", "c")).alias("main")
+        parts = parts.groupBy("gram").agg(main, F.count("*").alias("classes"), F.min("least").alias("least"))
+        rows = heads.join(parts.where("classes > 1").select("gram", "main", "least"), "gram").withColumn("minor", F.col("c") != F.col("main"))
+        # a set whose n-gram stands so late that even the n-gram's smallest set is too large for it
+        rows = rows.where((F.col("n") - F.col("pos")) * (100 + self.percent) >= (F.col("n") + F.col("least")) * self.percent)
         x = rows.where("minor").select("gram", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "pos", "c")])
         y = rows.select("gram", "minor", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "pos", "c")])
         once = ~F.col("minor") | (F.col("id_x") < F.col("id_y"))
-        sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * self.percent
-        met = x.join(y, "gram").where((F.col("c_x") != F.col("c_y")) & once & sizes)
+        met = x.join(y, "gram").where((F.col("c_x") != F.col("c_y")) & once & self.possible("_x", "_y"))
         a, b = F.struct(F.col("id_x").alias("id"), F.col("n_x").alias("n")), F.struct(F.col("id_y").alias("id"), F.col("n_y").alias("n"))
-        # what is left from the first n-gram in common on bounds the overlap as well
-        left = F.max(F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))).alias("left")
-        met = met.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.count("*").alias("common"), left)
-        met = met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"), "common", "left")
-        least = F.ceil((F.col("na") + F.col("nb")) * self.percent / (100 + self.percent))
-        return met.where(self.possible("na", "nb", "common") & (F.col("left") >= least)).drop("common", "left")
+        met = met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+        return met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
 
     @staticmethod
     def classed(heads: DataFrame, roots: DataFrame) -> DataFrame:
@@ -428,16 +417,15 @@ class Join:
         links = heads.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
         roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
         rows = self.classed(heads, roots)
-        for k in range(STARS):
-            if k and not self.hard(rows):
-                break
-            found = self.verified(self.stars(rows))
-            if found.isEmpty():
-                break
+        for _ in range(STARS):
+            pairs = materialise(self.stars(rows), "jaccard-stars")
+            found = self.verified(pairs)
             links = links.unionByName(found)
             roots = materialise(connected_components(links), "jaccard-roots")
             before, rows = rows, self.classed(heads, roots)
             discard(before)
+            if 2 * found.count() <= pairs.count():
+                break
         links = links.unionByName(self.verified(self.crossing(rows)))
         return connected_components(links)
 
