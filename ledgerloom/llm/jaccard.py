@@ -16,6 +16,7 @@ A document's set is its distinct shingles, as 64-bit hashes; equal sets are one
    outside its largest class against all. Pairs within a class need no comparison, so no group is
    expanded. What stands before the first n-gram in common is not in the other set, which bounds
    the overlap, and few pairs pass.
+   What the heads of a pair have in common, and what can be left behind them, bounds it again.
 5. A comparison is vertical: the fragments of both sets are joined fragment by fragment, the
    partial overlaps counted apart and summed per pair, and the sum decides exactly.
 6. Connected components over the links.
@@ -343,15 +344,30 @@ class Join:
         self.order = Order(_folded(rows.where("at is not null").select("at", "part"), CELLS, np.int64, np.add))
 
     def heads(self) -> DataFrame:
-        """(gram, id, n, pos): once each, the head n-grams that more than one set has in its head."""
+        """(gram, id, n, pos): once each, the head n-grams that more than one set has in its head. They
+        are kept for ``promising``."""
         apart = lambda rows: rows.groupBy("gram").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
         shared = _bitmap(apart(_heads(self.docs, self.order, self.size, self.percent)).select("gram"), BITS)
         rows = _heads(self.docs, self.order, self.size, self.percent, shared).distinct()
-        return materialise(rows, "jaccard-heads")
+        self.shared = materialise(rows, "jaccard-heads")
+        return self.shared
+
+    def promising(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that can reach the threshold by what their heads have in common: the heads are
+        prefixes of one order, so behind the one that ends first no more than the rest of its
+        set is common."""
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        heads = self.shared.join(ids, "id", "left_semi").groupBy("id").agg(F.collect_list("gram").alias("head"))
+        rows = pairs.join(heads.select(F.col("id").alias("a"), F.col("head").alias("x")), "a")
+        rows = rows.join(heads.select(F.col("id").alias("b"), F.col("head").alias("y")), "b")
+        least = F.ceil((F.col("na") + F.col("nb")) * self.percent / (100 + self.percent))
+        rest = F.ceil(F.greatest("na", "nb") * self.percent / 100) - 1
+        return rows.where(F.size(F.array_intersect("x", "y")) + rest >= least).select("a", "b", "na", "nb")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """(a, b) of the distinct pairs ``(a, b, na, nb)`` at the threshold: partial overlaps summed."""
-        pairs = materialise(pairs, "jaccard-pairs")
+        before = materialise(pairs, "jaccard-met")
+        pairs = materialise(self.promising(before), "jaccard-pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         texts = self.members.join(ids, "id").groupBy("id").agg(F.min("text_hash").alias("text_hash"))
         wanted = _bitmap(texts.select("text_hash"), BITS)
@@ -364,7 +380,7 @@ class Join:
         union = F.col("na") + F.col("nb") - F.col("overlap")
         near = pairs.join(sums, ["a", "b"]).where(F.col("overlap") * 100 >= union * self.percent)
         out = materialise(near.select("a", "b"), "jaccard-links")
-        discard(pieces, pairs)
+        discard(pieces, pairs, before)
         return out
 
     def possible(self, one: str, two: str) -> Column:
