@@ -99,3 +99,39 @@ def test_edge_cases(spark):
     kept = decontam.decontaminate(docs, items)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 4
     assert rows(decontam.contaminated(empty(docs), items)) == rows(decontam.contaminated(docs, empty(items))) == []
+
+
+def test_counters_of_long_runs_are_exact():
+    """Counters of four bits in one word run over within 100,000 features; windows count right."""
+    rng = np.random.default_rng(2)
+    features = rng.integers(0, 1 << 63, 100_000, dtype=np.uint64) | np.uint64(1 << 17 | 1)
+    sums = decontam._prefix_sums(features)
+    for at, n in ((0, 40), (99_000, 1000), (70_000, 3), (5, 30_000)):
+        window = features[at : at + n]
+        want = 2 * np.unpackbits(window.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=int) > n
+        fp = int(decontam._fingerprints(sums[at + n : at + n + 1] - sums[at : at + 1], n)[0])
+        # counter 4 j + k is bit j + 16 k
+        assert [fp >> (4 * j + k) & 1 for k in range(4) for j in range(16)] == want.astype(int).tolist()
+
+
+def test_the_tables_pass_over_no_fingerprint_within_the_radius():
+    rng = np.random.default_rng(3)
+    items = [(i, rng.integers(0, 1 << 63, int(n), dtype=np.uint64)) for i, n in enumerate(rng.integers(30, 40, 30))]
+    index = decontam.Index(items, 5, 0.8)
+    assert sum(len(own) for _, groups in index.classes for own, _, _ in groups) == 30
+    for _, groups in index.classes:
+        for own, prints, least in groups:
+            for _ in range(50):
+                fp = prints[rng.integers(len(own))]
+                for bit in rng.choice(64, decontam.RADIUS, replace=False):
+                    fp = fp ^ np.uint64(1 << int(bit))
+                blocks = np.array([fp]).view(np.uint16)
+                assert sum(int(least[b][blocks[b]]) for b in range(decontam.BLOCKS)) <= decontam.RADIUS
+
+
+def test_cleaning_moves_no_text(spark):
+    docs, items = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
+    kept = decontam.decontaminate(docs, items)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    bad = {r.doc_id for r in decontam.contaminated(docs, items).collect()}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - bad
