@@ -4,8 +4,9 @@ One pass over the texts finds the base kinds and every other identifier-like tok
 digit, ``@`` or ``_``), each with the lexical patterns of its left context: the word before it
 with the punctuation between them, and the two words before it.
 
-Base entities and secrets of unmistakable shape are seeds. They form a bipartite graph with
-their patterns and with the tokens that share these. Spark scores it in rounds:
+Base entities and secrets of unmistakable shape are seeds. Tokens that have a base kind's shape and
+fail its test are decoys: they are no identifiers, and count against their patterns. Seeds, decoys
+and all other tokens form a bipartite graph with their patterns. Spark scores it in rounds:
 
 * a pattern's confidence is the sum of its distinct instances' confidences over their number
   plus one, so that a pattern seen once or twice is never sure;
@@ -47,6 +48,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SECRETS = (re.compile(r"AKIA[0-9A-Z]{16}"), re.compile(r"(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,}"))
 # --- end of fixed values ---
 
+#: Shapes of the base kinds, of tokens that base_spans has not taken.
+_DECOYS = (re.compile(r"[0-9](?:-?[0-9]){12,}"), re.compile(r"[0-9]+(?:\.[0-9]+){3,}"), re.compile(r"\+[0-9][().0-9-]*[0-9]"))
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _HINT = re.compile(r"[0-9@_]")
 _TOKEN = re.compile(r"""[^\s"'=:,;()<>\[\]{}|]+""")
@@ -142,31 +145,31 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def scan(text: str) -> tuple[list[Span], list[Span], list[tuple[int, int, int, bool, list[str]]]]:
-    """Base spans, secrets, and all occurrences (start, end, value, seed, patterns)."""
+def scan(text: str) -> tuple[list[Span], list[Span], list[tuple[int, int, int, bool, bool, list[str]]]]:
+    """Base spans, secrets, and all occurrences (start, end, value, seed, decoy, patterns)."""
     if not _HINT.search(text):
         return [], [], []
     base = base_spans(text)
     secrets, seen = [], []
     for kind, s, e in base:
-        seen.append((s, e, True))
+        seen.append((s, e, True, False))
     for s, e in _tokens(text, sorted((s, e) for _, s, e in base)):
         secret = any(p.fullmatch(text, s, e) for p in SECRETS)
         if secret:
             secrets.append(("secret", s, e))
-        seen.append((s, e, secret))
+        seen.append((s, e, secret, any(p.fullmatch(text, s, e) for p in _DECOYS)))
     value = lambda s, e: xxhash.xxh64_intdigest(text[s:e].lower().encode()) - (1 << 63)
-    return base, secrets, [(s, e, value(s, e), seed, cues(text, s)) for s, e, seed in seen]
+    return base, secrets, [(s, e, value(s, e), seed, decoy, cues(text, s)) for s, e, seed, decoy in seen]
 
 
-_SEEN = "array<struct<start:int,end:int,value:bigint,seed:boolean,patterns:array<string>>>"
+_SEEN = "array<struct<start:int,end:int,value:bigint,seed:boolean,decoy:boolean,patterns:array<string>>>"
 _SCANNED = f"doc_id long, text_hash long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, seen {_SEEN}"
 
 
 def scanned(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen_type = pa.list_(
-            pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.int64()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.string()))])
+            pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.int64()), ("seed", pa.bool_()), ("decoy", pa.bool_()), ("patterns", pa.list_(pa.string()))])
         )
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):  # what is held as Python strings stays small
@@ -177,7 +180,7 @@ def scanned(docs: DataFrame) -> DataFrame:
                     counts.append([sum(k == kind for k, _, _ in base) for kind in KINDS])
                     shas.append(hashlib.sha256(_joined(base).encode()).hexdigest())
                     spans.append(_joined(base + secrets))
-                    seen.append([dict(zip(("start", "end", "value", "seed", "patterns"), x, strict=True)) for x in found])
+                    seen.append([dict(zip(("start", "end", "value", "seed", "decoy", "patterns"), x, strict=True)) for x in found])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), *(pa.array([c[k] for c in counts], pa.int64()) for k in range(4)), pa.array(shas, pa.string()), pa.array(spans, pa.string()), pa.array(seen, seen_type)],
                     ["doc_id", "text_hash", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "seen"],
@@ -189,9 +192,10 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 def score(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """``(pattern, confidence)`` and, for instances that are no seeds, ``(value, confidence)``,
-    of distinct ``edges(pattern, value, seed)``."""
+    of distinct ``edges(pattern, value, seed)``. Values with a true ``decoy``, if there is such a column,
+    have no confidence: they only count among their patterns' instances."""
     counts = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.sum(F.col("seed").cast("double")).alias("sure"))
-    unseen = edges.where("not seed").select("pattern", "value")
+    unseen = edges.where("not seed and not decoy" if "decoy" in edges.columns else "not seed").select("pattern", "value")
     counts, unseen = materialise(counts, "patterns"), materialise(unseen, "unseen")
     values = None
     for k in range(rounds):
@@ -220,10 +224,12 @@ def find(docs: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> DataFrame
     """
     rows = materialise(scanned(docs), "pii")
     seen = rows.select("doc_id", "text_hash", F.explode("seen").alias("s")).select("doc_id", "text_hash", "s.*")
-    edges = seen.select("value", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
+    edges = seen.select("value", "seed", "decoy", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(
+        F.max("seed").alias("seed"), F.max("decoy").alias("decoy")
+    )
     _, values = score(edges, rounds)
     known = values.where(F.col("confidence") >= sure).select("value")
-    found = seen.where("not seed").join(known, "value").groupBy("doc_id", "text_hash").agg(
+    found = seen.where("not seed and not decoy").join(known, "value").groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("more")
     )
     found = found.select(

@@ -101,6 +101,21 @@ def test_score_against_a_plain_loop(spark):
     assert {r.value: round(r.confidence, 9) for r in values.collect()} == {k: round(x, 9) for k, x in v.items()}
 
 
+def test_decoys_are_left_alone_and_count_against_their_patterns(spark):
+    """Numbers with the shape of a card that fail its test, after words that seeds follow too."""
+    said = [f"mail in user{i}@host{i}.com, token = KEY{i}_ABC" for i in range(12)] + [f"paid in 41111111111{i:05d} again" for i in range(12)]
+    said += ["logged in 300.2.900.41 there", "called in +1234 then", "and in jdoe_1977 too"]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    taken = {}
+    for r in pii.find(docs).collect():
+        for kind, s, e in (x.split(":") for x in r.spans.split(",") if x):
+            taken.setdefault(kind, set()).add(said[r.doc_id][int(s) : int(e)])
+    assert "context" not in taken  # "in" is no sure pattern any more
+    alone = pii.find(docs.where("text not like 'paid%' and text not like '%+1234%' and text not like '%300.2%'")).collect()
+    found = [said[r.doc_id][int(s) : int(e)] for r in alone for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == "context"]
+    assert found == ["jdoe_1977"]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a.b@c.de or +1 (555) 123-4567 now", 9), (2, "nothing", 7), (3, None, None), (2, "nothing", 7)], "doc_id long, text string, n_chars long")
     assert rows(pii.redact(docs)) == [(1, "mail [EMAIL] or [PHONE] now", 27), (2, "nothing", 7), (2, "nothing", 7), (3, None, None)]
