@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import Block, mix, one_text_each, restored, span_hashes, text_blocks, word_bounds
+from ledgerloom.llm.shared import Block, drawn_texts, mix, restored, span_hashes, text_blocks, word_bounds
 
 SLOTS = 1 << 18
 TRAIN_TEXTS, TRAIN_CHARS = 500, 20_000
@@ -129,17 +129,10 @@ def fit(docs: DataFrame, rated: DataFrame, grades: int = 3, texts: int = TRAIN_T
     of doc_id. Without any rating all weights are 0."""
     known = rated.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1))
     known = known.groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
-    found = docs.where("text is not null").select(F.col("doc_id").alias("id"), "text")
-    ids = None
-    for grade in range(grades):
-        some = known.where(F.col("grade") == grade).orderBy(F.xxhash64("doc_id"), "doc_id").limit(texts)
-        ids = some if ids is None else ids.unionByName(some)
-    # at most texts rows per grade, so the broadcast and what is collected are bounded
-    drawn = one_text_each(found.join(F.broadcast(ids), F.col("id") == F.col("doc_id")).where(F.length("text") <= chars))
-    rows = drawn.select("doc_id", "grade", "text").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    rows = drawn_texts(docs, known.withColumnRenamed("grade", "label"), range(grades), texts, chars)
     model = Model(grades)
     if rows:
-        model.train([r["text"] for r in rows], np.array([r["grade"] for r in rows]))
+        model.train([r["text"] for r in rows], np.array([r["label"] for r in rows]))
     return model
 
 

@@ -7,7 +7,7 @@ unbroken word may exceed it).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -86,6 +86,22 @@ def one_text_each(rows: DataFrame) -> DataFrame:
     return rows.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
 
 
+def drawn_texts(docs: DataFrame, known: DataFrame, labels: Iterable[int], texts: int, chars: int) -> list:
+    """Rows ``(doc_id, label, text)`` to train on, fetched to the driver: of each label at most
+    ``texts`` ids of ``known(doc_id, label)``, drawn by a hash of the id among those that have a text
+    of at most ``chars`` characters, and one such text of each; by label, then hash."""
+    usable = docs.where(F.col("text").isNotNull() & (F.length("text") <= chars))
+    with_text = known.join(usable.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = None
+    for label in labels:
+        some = with_text.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(texts)
+        ids = some if ids is None else ids.unionByName(some)
+    # texts ids of each label at most, so the broadcast and what is fetched are bounded
+    ids = ids.withColumnRenamed("doc_id", "_id")
+    drawn = one_text_each(usable.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).drop("_id"))
+    return drawn.select("doc_id", "label", "text").orderBy("label", F.xxhash64("doc_id"), "doc_id").collect()
+
+
 def row_key(doc_id, content):
     """One string for an id (null as empty) and a hash of the text: a single key shuffles once
     for a join and a grouping that follows it."""
@@ -101,10 +117,25 @@ class Block:
     offsets: np.ndarray
 
 
+def _last_words(data: np.ndarray, at: int, cut: int, gap: np.ndarray, words: int) -> int:
+    """Where the last ``words`` words of ``data[at:cut]`` begin; ``at`` if there are no more."""
+    back = 64 * words
+    while True:
+        low = max(at, cut - back)
+        inside = ~gap[data[low:cut]]
+        # a word begins after a gap: at the edge of what is looked at only if that is the edge of all
+        first = np.flatnonzero(inside & ~np.append(low > at, inside[:-1]))
+        if len(first) >= words:
+            return low + int(first[-words])
+        if low == at:
+            return at
+        back *= 2
+
+
 def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES, gap: np.ndarray = SPACE, overlap: int = 0) -> Iterator[Block]:
     """The column's texts in blocks of about ``limit`` bytes; a longer text comes in several
-    blocks, cut where a ``gap`` byte is, so that no word is cut, each with up to ``overlap``
-    bytes of the one before. Nulls count as empty."""
+    blocks, cut where a ``gap`` byte is, so that no word is cut, each with the last ``overlap``
+    words of the one before. Nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "")
@@ -123,17 +154,20 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES, gap: np.ndarray = SP
         else:
             at, stop = int(ends[i]), int(ends[j])
             while at < stop:
-                cut = min(at + limit, stop)
-                while cut < stop:
-                    gaps = np.flatnonzero(gap[data[cut : min(cut + limit, stop)]])
-                    if len(gaps):
-                        cut += int(gaps[0])
-                        break
+                cut = at
+                while True:
                     cut = min(cut + limit, stop)
+                    while cut < stop:
+                        gaps = np.flatnonzero(gap[data[cut : min(cut + limit, stop)]])
+                        if len(gaps):
+                            cut += int(gaps[0])
+                            break
+                        cut = min(cut + limit, stop)
+                    # half of a block's words at least are new, or it would hardly get on
+                    if cut == stop or not overlap or _last_words(data, at, cut, gap, 2 * overlap) > at:
+                        break
                 yield Block(np.array([i]), data[at:cut], np.array([0, cut - at]))
-                back = max(at + 1, cut - overlap) if overlap and cut < stop else cut
-                gaps = np.flatnonzero(gap[data[back:cut]])
-                at = back + int(gaps[0]) if len(gaps) else cut
+                at = _last_words(data, at, cut, gap, overlap) if overlap and cut < stop else cut
         i = j
 
 

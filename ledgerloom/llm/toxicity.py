@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import LOWER, Block, mix, one_text_each, restored, span_hashes, text_blocks, word_bounds
+from ledgerloom.llm.shared import LOWER, Block, drawn_texts, mix, restored, span_hashes, text_blocks, word_bounds
 
 WINDOW, STEP = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -280,7 +280,7 @@ class Model:
     def score(self, column: pa.Array) -> np.ndarray:
         """Scores 0..1 of the texts; 0 for texts without a word."""
         best = np.full(len(column), -np.inf, np.float32)
-        for block in text_blocks(column, overlap=2048):
+        for block in text_blocks(column, overlap=WINDOW - 1):
             of, slots, grams, offsets, per = _words(block)
             index, real, piece = _index(of, per, len(slots))
             if len(index):
@@ -314,16 +314,8 @@ def fit(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS, chars: int
     are left out."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out())
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    found = docs.where("text is not null").select(F.col("doc_id").alias("id"), "text")
-    drawn = []
-    for label in (0, 1):
-        # some more ids than needed, as long texts and labels without a text drop out
-        ids = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * texts)
-        drawn.append(found.join(F.broadcast(ids), F.col("id") == F.col("doc_id")))
-    both = one_text_each(drawn[0].unionByName(drawn[1]).where(F.length("text") <= chars))
-    drawn = both.select("doc_id", "toxic", "text").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = drawn.collect()  # a row for each id: at most 4 * texts, of at most chars characters
-    rows = [r for label in (0, 1) for r in [r for r in rows if r["toxic"] == label][:texts]]
+    rows = drawn_texts(docs, known.withColumnRenamed("toxic", "label"), (0, 1), texts, chars)
+    rows = [{"toxic": r["label"], "text": r["text"]} for r in rows]
     if len({r["toxic"] for r in rows}) < 2:
         return float(rows[0]["toxic"]) if rows else 0.0
     prior = known.agg(F.avg("toxic")).first()[0]

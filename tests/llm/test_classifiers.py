@@ -185,3 +185,30 @@ def test_rows_of_one_id_push_out_no_other(spark, monkeypatch):
     assert isinstance(model, toxicity.Model)
     quality.fit(docs, marks.withColumnRenamed("mark", "grade"), grades=2, texts=5)
     assert drawn == [(10, [5, 5]), (10, [5, 5])]
+
+
+def test_windows_across_the_blocks_of_long_words(monkeypatch):
+    """Every run of words up to a window lies in one block, however long the words are."""
+    import pyarrow as pa
+
+    from ledgerloom.llm import shared
+
+    for length in (1, 30, 400):
+        words = [f"{i:04d}" + "x" * length for i in range(600)]
+        text = " ".join(words)
+        got = set()
+        for block in shared.text_blocks(pa.array([text]), limit=1000, overlap=7):
+            told = bytes(block.buf).decode().split()
+            got |= {tuple(told[i : i + 8]) for i in range(len(told) - 7)}
+        assert got == {tuple(words[i : i + 8]) for i in range(593)}
+
+
+def test_ids_with_unusable_texts_leave_their_places_to_others(spark):
+    """Of each grade as many usable texts as asked for, though most ids have long texts or none."""
+    from ledgerloom.llm import shared
+
+    docs = spark.createDataFrame([(i, "x " * 50 if i % 4 else "short text") for i in range(400)] + [(8, None), (12, "short other")], "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(0, 1000, 2)] + [(i, 1) for i in range(1, 1000, 2)], "doc_id long, label int")
+    rows = shared.drawn_texts(docs, known, (0, 1, 2), 20, 20)
+    assert [r["label"] for r in rows] == [0] * 20  # odd ids have long texts only
+    assert len({r["doc_id"] for r in rows}) == 20 and all(len(r["text"]) <= 20 for r in rows)
