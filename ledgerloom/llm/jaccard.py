@@ -149,9 +149,10 @@ def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def levels(counters: np.ndarray) -> np.ndarray:
-    """Level of an n-gram by its sign and cell: 0 for what the sketch cannot tell from a rare one
-    (twice its error), then one more each time the estimate doubles."""
-    error = max(4.0, 2 * 1.4826 * float(np.median(np.abs(counters))))
+    """Level of an n-gram by its sign and cell: 0 for estimates below the sketch's standard error,
+    then one more each time the estimate doubles. A sixth of the rare n-grams are so taken for more
+    frequent ones, which only puts them later; of frequent ones few are taken for rare."""
+    error = max(2.0, 1.4826 * float(np.median(np.abs(counters))))
     out = np.zeros((2, len(counters)), np.uint8)
     for sign, row in zip((1, -1), out, strict=True):
         at = np.flatnonzero(sign * counters >= error)
