@@ -212,3 +212,129 @@ def test_ids_with_unusable_texts_leave_their_places_to_others(spark):
     rows = shared.drawn_texts(docs, known, (0, 1, 2), 20, 20)
     assert [r["label"] for r in rows] == [0] * 20  # odd ids have long texts only
     assert len({r["doc_id"] for r in rows}) == 20 and all(len(r["text"]) <= 20 for r in rows)
+
+
+def _slow_nll(w, first, steps, slots, grades, gain, weight):
+    """Weighted negative log-likelihood of the cumulative-link model, by its definition."""
+    theta = [first]
+    for s in steps:
+        theta.append(theta[-1] + np.exp(s))
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    total = 0.0
+    for words, g, k in zip(slots, grades, weight, strict=True):
+        score = gain * sum(w[s] for word in words for s in word) / len(words)
+        up = 1.0 if g == len(theta) else sig(theta[g] - score)
+        low = 0.0 if g == 0 else sig(theta[g - 1] - score)
+        total -= k * np.log(up - low)
+    return total / len(grades) + quality.DECAY / 2 * sum(x * x for x in w.values())
+
+
+def test_quality_training_against_differences_of_the_likelihood(monkeypatch):
+    """Some steps of training, with gradients taken as differences of the likelihood, text by text."""
+    monkeypatch.setattr(quality, "EPOCHS", 4)
+    rng = np.random.default_rng(8)
+    vocabulary = ["good", "fine", "bad", "So", "x1", "and"]
+    texts = [" ".join(rng.choice(vocabulary, int(n))) for n in rng.integers(3, 9, 14)]
+    grades = rng.integers(0, 3, 14)
+    grades[:3] = 0, 1, 2
+    model = quality.Model(3)
+    model.train(texts, grades)
+    word_slots = {}
+    for v in vocabulary:
+        (block,) = text_blocks(pa.array([v]))
+        word_slots[v] = quality.features(block)[0][0].tolist()
+    slots = [[word_slots[v] for v in t.split()] for t in texts]
+    seen = {s: sum(any(s in word for word in t) for t in slots) for s in {s for t in slots for word in t for s in word}}
+    share = np.bincount(grades, minlength=3)
+    weight = (len(grades) / (3 * share))[grades]
+    names = sorted(seen)
+    x = np.array([0.0] * len(names) + [-float(np.quantile(grades, 0.5) > 0), 0.0])
+    m, v = np.zeros(len(x)), np.zeros(len(x))
+    nll = lambda x: _slow_nll(dict(zip(names, x)), x[-2], x[-1:], slots, grades, 20.0, weight)
+    for step in range(1, 5):
+        g = np.zeros(len(x))
+        for k in range(len(x)):
+            if k >= len(names) or seen[names[k]] >= quality.FREQUENT:
+                e = np.zeros(len(x))
+                e[k] = 1e-5
+                g[k] = (nll(x + e) - nll(x - e)) / 2e-5
+        m += 0.1 * (g - m)
+        v += 0.01 * (g * g - v)
+        x = x - 0.1 * quality.RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    assert model.weights[names] / 20.0 == pytest.approx(x[: len(names)], abs=1e-4)
+    assert model.thresholds() == pytest.approx([x[-2], x[-2] + np.exp(x[-1])], abs=1e-4)
+    # scores and tails of whole texts, word by word
+    got = model.score(pa.array(["good bad So", None, "and"]))
+    slow = [np.mean([sum(model.weights[s] for s in word_slots[v]) for v in t.split()]) for t in ("good bad So", "and")]
+    assert got.tolist() == pytest.approx([slow[0], 0.0, slow[1]], abs=1e-5)
+    theta = model.thresholds()
+    assert model.tails(got)[0].tolist() == pytest.approx([1 / (1 + np.exp(t - got[0])) for t in theta])
+
+
+def test_toxicity_of_whole_texts_against_their_windows():
+    """A text scores as its highest window, each window scored as a text of its own."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words[: 150 if i % 2 else 300], int(n))) for i, n in enumerate(rng.integers(5, 200, 60))]
+    model = toxicity.Model()
+    model.train(texts, np.arange(60) % 2, 0.3)
+    long = " ".join(rng.choice(words, 5000))
+    for text in ["w1", *texts[:15], long]:
+        told = text.split()
+        starts = list(range(0, max(len(told) - toxicity.WINDOW, 0) + 1, toxicity.STEP))
+        if len(told) > toxicity.WINDOW:
+            starts.append(len(told) - toxicity.WINDOW)
+        windows = [" ".join(told[s : s + toxicity.WINDOW]) for s in starts]
+        want = max(float(model.score(pa.array([w]))[0]) for w in windows)
+        assert float(model.score(pa.array([text]))[0]) == pytest.approx(want, abs=1e-5)
+
+
+def _slow_infer(logs):
+    """The language set of one text: grown one language at a time while the penalised likelihood gains."""
+    n, k = logs.shape
+    like = np.exp(logs.astype(float))
+
+    def em(pi):
+        for _ in range(langid.STEPS):
+            new = np.zeros(k)
+            for row in like:
+                r = row * pi
+                new += r / r.sum()
+            pi = new / n
+        return pi, sum(np.log((row * pi).sum()) for row in like)
+
+    best = int(logs.sum(axis=0).argmax())
+    pi, fit = np.eye(k)[best], float(logs[:, best].sum())
+    penalty = langid.PENALTY * np.log1p(n)
+    for size in range(1, k):
+        tried = []
+        for lang in range(k):
+            if pi[lang] == 0:
+                start = pi * (1 - 0.5 / size)
+                start[lang] += 0.5 / size
+                tried.append(em(start))
+        new, value = max(tried, key=lambda t: t[1])
+        if value - fit <= penalty:
+            break
+        pi, fit = new, value
+    return pi
+
+
+def test_language_sets_against_a_plain_loop():
+    rng = np.random.default_rng(6)
+    parts, text = [], []
+    for t in range(25):  # one language, two, three, and noise
+        for lang in rng.choice(4, t % 4 + 1, replace=False):
+            n = int(rng.integers(1, 12))
+            rows_ = rng.normal(size=(n, 4)) * 1.5
+            rows_[:, lang] += 3
+            parts.append(rows_)
+            text += [t] * n
+    logs = np.concatenate(parts).astype(np.float32)
+    got = langid.infer(logs, np.array(text), 25)
+    sets = set()
+    for t in range(25):
+        want = _slow_infer(logs[np.array(text) == t])
+        assert got[t] == pytest.approx(want, abs=1e-4)
+        sets.add(int((want > 0).sum()))
+    assert len(sets) >= 3
