@@ -138,8 +138,8 @@ def nearest(rows: DataFrame, asks: Column, top: int = TOP) -> DataFrame:
     component to the last; ties go to the smaller vec_id. Vectors that are null, zero or hold
     nulls or non-finite components take no part, nor do rows without an id; rows equal in id and
     vector count once, an id with several vectors is several rows, none of which is another's
-    neighbour. All vectors taking part must have one length. Other columns are ignored; no row
-    gives no row.
+    neighbour. Vectors taking part that differ in length raise a ValueError. Other columns are
+    ignored; no row gives no row.
 
     A vector that many rows share is one node: its ``top + 1`` smallest ids stand for it, which
     are enough for every query.
@@ -150,6 +150,9 @@ def nearest(rows: DataFrame, asks: Column, top: int = TOP) -> DataFrame:
         return rows.select(
             F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         ).limit(0)
+    lengths = sorted(r[0] for r in nodes.select(F.size("vec")).distinct().limit(2).collect())
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of unequal length: {lengths[0]} and {lengths[1]} components")
     known = materialise(rows.join(nodes, "vec").select("vec_id", "asks", "id"), "members")
     queries = known.where("asks").select(F.col("id").alias("q")).distinct()
     found = brute_force(nodes, queries, top + 1)
@@ -163,3 +166,19 @@ def nearest(rows: DataFrame, asks: Column, top: int = TOP) -> DataFrame:
     own = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, top)
     out = asked.join(materialise(lists, "near"), "q").select("query_id", F.posexplode(own).alias("p", "x"))
     return out.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
+
+
+#: DuckDB: every query against every vector, each product summed from the first component on.
+ORACLE = f"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda c: isfinite(c)))
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), near AS (
+  SELECT q.vec_id AS query_id, v.vec_id, 0.0::DOUBLE + list_reduce(
+    list_transform(range(1, len(v.v) + 1), lambda i: q.v[i] * v.v[i]), lambda a, b: a + b) AS score, q.v AS q
+  FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM near QUALIFY rank <= {TOP}
+"""

@@ -90,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_nearest_neighbours": neighbours.ORACLE,
     "op3_curriculum_mix": mixing.ORACLE,
     "op4_chat_format": chat.ORACLE,
     "op6_licence_scan": licences.oracle(),

@@ -1,4 +1,6 @@
+import duckdb
 import numpy as np
+import pytest
 from helpers import clashing, rows
 from pyspark.sql import functions as F
 
@@ -144,3 +146,15 @@ def test_many_tiles_and_passes(spark, monkeypatch):
     whole = np.random.default_rng(9).integers(-2, 3, (700, 6)).astype(float).tolist()
     data = list(enumerate(whole))
     assert got(neighbours.nearest(spark.createDataFrame(data, ROWS), F.col("vec_id") % 20 == 0)) == brute(data, lambda i: i % 20 == 0, 20)
+
+
+def test_the_sql_gives_the_same_doubles(spark):
+    table = spark.read.parquet(f"{SF01}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vec"))
+    sql = neighbours.ORACLE.replace("FROM embeddings", f"FROM '{SF01}/embeddings.parquet'")
+    found = neighbours.nearest(table, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score")
+    assert sorted(map(tuple, found.collect())) == sorted(duckdb.sql(sql).fetchall())
+
+
+def test_unequal_lengths_are_told(spark):
+    with pytest.raises(ValueError, match="unequal length: 2 and 3"):
+        neighbours.nearest(spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0, 3.0]), (2, None)], ROWS), F.lit(True))
