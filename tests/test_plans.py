@@ -32,6 +32,22 @@ def test_upsert_streams_target_through_a_broadcast_anti_join(spark):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
 
 
+def test_a_large_update_is_shuffled_and_merges_alike(spark):
+    """Beyond the broadcast limit both sides are shuffled by key; the rows are the same."""
+    target, updates = _fact(spark), _fact(spark, 100).withColumn("amount", F.lit(9).cast("decimal(11,2)"))
+    small = merge.upsert(target, updates, merge.FACT_KEYS)
+    want = sorted(map(tuple, small.collect()))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = merge.upsert(target, updates, merge.FACT_KEYS)
+        assert "SortMergeJoin" in _plan(large) and "Broadcast" not in _plan(large)
+        assert sorted(map(tuple, large.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert sum(r[4] == 9 for r in want) == 100 and len(want) == 5000
+
+
 def test_report_daily_scans_the_fact_once_without_a_global_window(spark, tmp_path):
     path = str(tmp_path / "fact")
     _fact(spark).write.parquet(path)
