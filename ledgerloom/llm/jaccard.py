@@ -428,9 +428,20 @@ class Join:
         mixed = rows.groupBy("gram").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
         return materialise(rows.join(mixed.select("gram"), "gram", "left_semi"), "jaccard-classed")
 
+    def alive(self, heads: DataFrame) -> DataFrame:
+        """The rows of ``heads`` at whose n-gram a near pair can first meet: those of two sets that allow
+        it, or of several where the smallest is not too large for the set."""
+        low, high = F.min(F.struct("n", "pos", "id")).alias("low"), F.max(F.struct("n", "pos", "id")).alias("high")
+        grams = heads.groupBy("gram").agg(F.count("*").alias("size"), low, high)
+        grams = grams.select("gram", "size", *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in ("low", "high") for c in ("n", "pos")])
+        grams = grams.where((F.col("size") > 2) | ((F.col("size") == 2) & self.possible("_low", "_high")))
+        rows = heads.join(grams.select("gram", F.col("n_low").alias("least")), "gram")
+        fits = (F.col("n") - F.col("pos")) * (100 + self.percent) >= (F.col("n") + F.col("least")) * self.percent
+        return materialise(rows.where(fits).drop("least"), "jaccard-alive")
+
     def components(self) -> DataFrame:
         """(node, root): the sets that have links, with the smallest name that they reach."""
-        heads = self.heads()
+        heads = self.alive(self.heads())
         links = heads.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
         roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
         rows = self.classed(heads, roots)
