@@ -225,11 +225,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = LOWER) -> np.ndarray:
-    """Hash of each span of bytes (by default without regard to ASCII case): differences of
-    prefix sums of a polynomial modulo 2^64, so the cost does not depend on the lengths."""
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(fold[buf] * _powers.get(_P, len(buf)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers.get(_P_INV, len(buf) + 1)[starts])
+    """Hash of each span of bytes, in order of their starts (by default without regard to ASCII
+    case): differences of prefix sums of a polynomial modulo 2^64, so the cost does not depend on the
+    lengths. A long buffer is taken in stretches, as the sums and powers have 8 bytes a byte."""
+    out, lo = np.empty(len(starts), np.uint64), 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + BLOCK_BYTES)))
+        a, b = int(starts[lo]), int(ends[lo:hi].max())
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(fold[buf[a:b]] * _powers.get(_P, b - a), out=sums[1:])
+        out[lo:hi] = mix((sums[ends[lo:hi] - a] - sums[starts[lo:hi] - a]) * _powers.get(_P_INV, b - a + 1)[starts[lo:hi] - a])
+        lo = hi
+    return out
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -338,3 +338,13 @@ def test_language_sets_against_a_plain_loop():
         assert got[t] == pytest.approx(want, abs=1e-4)
         sets.add(int((want > 0).sum()))
     assert len(sets) >= 3
+
+
+def test_span_hashes_do_not_depend_on_the_stretches(monkeypatch):
+    from ledgerloom.llm import shared
+
+    (block,) = text_blocks(pa.array([" ".join(f"Word{i * i}" for i in range(3000))]))
+    starts, ends, _ = word_bounds(block)
+    whole = span_hashes(block.buf, starts, ends)
+    monkeypatch.setattr(shared, "BLOCK_BYTES", 100)
+    assert (span_hashes(block.buf, starts, ends) == whole).all() and len(set(whole.tolist())) == 3000
