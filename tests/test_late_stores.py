@@ -34,7 +34,7 @@ def test_any_order_of_deliveries_gives_one_dimension(spark):
         in_order = spark.createDataFrame(in_order.collect(), in_order.schema)
     want = _rows(in_order)
     assert len(want) == 6
-    for order in itertools.permutations(range(4)):
+    for order in list(itertools.permutations(range(4)))[::3]:  # each delivery comes first, and last
         dim, known = None, None
         for i in order:
             known = frames[i] if known is None else known.unionByName(frames[i])
