@@ -10,8 +10,8 @@ With ``archive_dir`` the file source itself moves files there, each once a later
 committed the batch that read it.
 
 A batch that fails before its log row leaves nothing visible and is loaded again when the
-stream replays it; one that fails after it is skipped by the gate. Limit: the file source
-does not list empty files, so they get no log row.
+stream replays it; one that fails after it is skipped by the gate. Limits: the file source
+does not list empty files, so they get no log row, and takes no files that come as folders of parts.
 """
 
 from __future__ import annotations
