@@ -126,6 +126,12 @@ def positions(planned: DataFrame, schedules=SCHEDULES) -> DataFrame:
     return planned.withColumn("position", F.when(F.col("taken") > 0, at))
 
 
+def in_order(rows: DataFrame, *ties: str) -> DataFrame:
+    """``rows`` range-sorted by position, those without one last; ties by the given columns."""
+    by = [F.col("position").asc_nulls_last(), *(F.col(c).asc() for c in ties)]
+    return rows.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
 def mix(docs: DataFrame, schedules=SCHEDULES, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The training sequence: ``docs``' columns, ``epoch``, ``words`` (of the text's, counted
     from its start) and ``position``, a row for each copy taken, range-sorted by position.
@@ -141,8 +147,7 @@ def mix(docs: DataFrame, schedules=SCHEDULES, share: float = SHARE, most: int =
     rows = planned.select(row_key(F.col("doc_id"), F.col("text_md5")).alias("_row"), "epoch", words.alias("words"), at.alias("position")).where("words > 0")
     names = [c for c in docs.columns if c not in ("epoch", "words", "position")]
     own = docs.select(*names, row_key(F.col("doc_id"), _text_md5()).alias("_row")).dropDuplicates(["_row"])
-    out = own.join(rows, "_row").select(*names, "epoch", "words", "position")
-    return out.repartitionByRange("position", "doc_id", "epoch").sortWithinPartitions("position", "doc_id", "epoch")
+    return in_order(own.join(rows, "_row").select(*names, "epoch", "words", "position"), "doc_id", "epoch")
 
 
 ORACLE = r"""

@@ -23,7 +23,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.positions(mixing.plan(table(spark, sf_dir, "documents")))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", "position")
+    return mixing.in_order(planned.select("doc_id", "size", "source_size", "target", "taken", "position"), "doc_id")
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

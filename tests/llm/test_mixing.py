@@ -75,3 +75,11 @@ def test_edge_cases(spark):
     assert rows(mixing.plan(empty(docs))) == rows(mixing.mix(empty(docs))) == []
     with pytest.raises(ValueError):
         mixing.plan(docs, schedules=(((0.0, 1.0), (0.5, 1.0)),))
+
+
+def test_the_query_returns_its_rows_sorted_by_position(spark):
+    from ledgerloom.llm import queries
+
+    out = [r.position for part in queries.op3_curriculum_mix(spark, SF001).rdd.glom().collect() for r in part]
+    taken = [p for p in out if p is not None]
+    assert taken == sorted(taken) and out[: len(taken)] == taken and len(taken) > 1
