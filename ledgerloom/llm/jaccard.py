@@ -31,7 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import connected_components
@@ -263,28 +263,51 @@ def _long_columns(columns: list[list[np.ndarray]], names: list[str]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)) for a in arrays], names)
 
 
-def _heads(docs: DataFrame, order: Order, size: int, percent: int, shared: np.ndarray | None = None) -> DataFrame:
-    """(gram, id, n, pos): the first n-grams of each set with their places, or only those that
-    the bitmap ``shared`` holds. Copies of a set may repeat its rows."""
+def _heads(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
+    """(gram, id): the first n-grams of each set. Copies of a set may repeat its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        held, names = 0, ["gram", "id", "n", "pos"]
+        out: list[list[np.ndarray]] = [[], []]
+        held, names = 0, ["gram", "id"]
         for name, grams in _sets_of(batches, size):
             head = order.arranged(grams)[: head_length(len(grams), percent)]
-            pos = np.arange(len(head))
-            if shared is not None:
-                kept = _has(shared, head)
-                head, pos = head[kept], pos[kept]
-            for column, values in zip(out, (head, np.full(len(head), name), np.full(len(head), len(grams)), pos), strict=True):
+            for column, values in zip(out, (head, np.full(len(head), name)), strict=True):
                 column.append(values)
             held += len(head)
             if held > 1 << 16:
                 yield _long_columns(out, names)
-                out, held = [[], [], [], []], 0
+                out, held = [[], []], 0
         yield _long_columns(out, names)
 
-    return docs.select("text").mapInArrow(run, "gram long, id long, n long, pos long")
+    return docs.select("text").mapInArrow(run, "gram long, id long")
+
+
+def _head_lists(docs: DataFrame, order: Order, size: int, percent: int, shared: np.ndarray) -> DataFrame:
+    """(id, n, grams, places): a row for each set with those of its first n-grams that the bitmap
+    ``shared`` holds, if any, and their places in the set."""
+
+    def batch(ids: list[int], sizes: list[int], heads: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
+        ends = pa.array(np.cumsum([0, *map(len, heads)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x).view(np.int64))) for x in (heads, places)]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), *lists], ["id", "n", "grams", "places"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for name, grams in _sets_of(batches, size):
+            head = order.arranged(grams)[: head_length(len(grams), percent)]
+            places = np.flatnonzero(_has(shared, head))
+            if not len(places):
+                continue
+            rows.append((name, len(grams), head[places], places))
+            held += len(places)
+            if held > 1 << 16:
+                yield batch(*map(list, zip(*rows, strict=True)))
+                rows, held = [], 0
+        if rows:
+            yield batch(*map(list, zip(*rows, strict=True)))
+
+    rows = docs.select("text").mapInArrow(run, "id long, n long, grams array<long>, places array<long>")
+    return rows.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "grams", "places")])
 
 
 def _fragments(docs: DataFrame, order: Order, size: int, percent: int, wanted: np.ndarray) -> DataFrame:
@@ -346,21 +369,21 @@ class Join:
 
     def heads(self) -> DataFrame:
         """(gram, id, n, pos): once each, the head n-grams that more than one set has in its head. They
-        are kept for ``promising``."""
+        are kept by set for ``promising``."""
         apart = lambda rows: rows.groupBy("gram").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
         shared = _bitmap(apart(_heads(self.docs, self.order, self.size, self.percent)).select("gram"), BITS)
-        rows = _heads(self.docs, self.order, self.size, self.percent, shared).distinct()
-        self.shared = materialise(rows, "jaccard-heads")
-        return self.shared
+        self.lists = materialise(_head_lists(self.docs, self.order, self.size, self.percent, shared), "jaccard-heads")
+        rows = self.lists.select("id", "n", F.inline(F.arrays_zip("grams", "places")))
+        return rows.select(F.col("grams").alias("gram"), "id", "n", F.col("places").alias("pos"))
 
     def promising(self, pairs: DataFrame) -> DataFrame:
         """The pairs that can reach the threshold by what their heads have in common: the heads are
         prefixes of one order, so behind the one that ends first no more than the rest of its
         set is common."""
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        heads = self.shared.join(ids, "id", "left_semi").groupBy("id").agg(F.collect_list("gram").alias("head"))
-        rows = pairs.join(heads.select(F.col("id").alias("a"), F.col("head").alias("x")), "a")
-        rows = rows.join(heads.select(F.col("id").alias("b"), F.col("head").alias("y")), "b")
+        heads = self.lists.join(ids, "id", "left_semi")  # a row for each set
+        rows = pairs.join(heads.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
+        rows = rows.join(heads.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
         least = F.ceil((F.col("na") + F.col("nb")) * self.percent / (100 + self.percent))
         rest = F.ceil(F.greatest("na", "nb") * self.percent / 100) - 1
         return rows.where(F.size(F.array_intersect("x", "y")) + rest >= least).select("a", "b", "na", "nb")
@@ -395,8 +418,8 @@ class Join:
     def stars(self, heads: DataFrame) -> DataFrame:
         """Sets of ``heads(gram, id, n, pos, c)``, each with the set of another class that leads most
         of the n-grams at which the two can be near."""
-        lead = F.min(F.struct("pos", "c", "id", "n")).alias("lead")
-        rows = heads.join(heads.groupBy("gram").agg(lead), "gram").where(F.col("c") != F.col("lead.c"))
+        lead = F.min(F.struct("pos", "c", "id", "n")).over(Window.partitionBy("gram"))
+        rows = heads.withColumn("lead", lead).where(F.col("c") != F.col("lead.c"))
         rows = rows.select("id", "n", "pos", *[F.col(f"lead.{c}").alias(f"{c}_lead") for c in ("id", "n", "pos")])
         votes = rows.where(self.possible("", "_lead")).groupBy("id", "n", "id_lead", "n_lead").agg(F.count("*").alias("votes"))
         best = votes.groupBy("id", "n").agg(F.max(F.struct("votes", "id_lead", "n_lead")).alias("best"))
@@ -406,10 +429,11 @@ class Join:
         """Pairs of sets of different classes ``c`` that meet in an n-gram of ``heads`` at which they
         can be near: of each n-gram, the sets outside its largest class with all sets of other
         classes. The first n-gram that a near pair has in common is among them."""
-        parts = heads.groupBy("gram", "c").agg(F.count("*").alias("k"), F.min("n").alias("least"))
-        main = F.max_by("c", F.struct("k", "c")).alias("main")
-        parts = parts.groupBy("gram").agg(main, F.count("*").alias("classes"), F.min("least").alias("least"))
-        rows = heads.join(parts.where("classes > 1").select("gram", "main", "least"), "gram").withColumn("minor", F.col("c") != F.col("main"))
+        by_gram = Window.partitionBy("gram")
+        # dealt by n-gram once, for the windows and for both sides of the join
+        rows = heads.repartition("gram").withColumn("k", F.count("*").over(Window.partitionBy("gram", "c")))
+        rows = rows.withColumns({"main": F.max(F.struct("k", "c")).over(by_gram), "least": F.min("n").over(by_gram)})
+        rows = rows.withColumn("minor", F.col("c") != F.col("main.c"))
         # a set whose n-gram stands so late that even the n-gram's smallest set is too large for it
         rows = rows.where((F.col("n") - F.col("pos")) * (100 + self.percent) >= (F.col("n") + F.col("least")) * self.percent)
         x = rows.where("minor").select("gram", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "pos", "c")])
@@ -425,33 +449,33 @@ class Join:
         """``heads`` with the class of each set, without n-grams of one class only."""
         rows = heads.join(roots.select(F.col("node").alias("id"), F.col("root").alias("c")), "id", "left")
         rows = rows.withColumn("c", F.coalesce("c", "id"))
-        mixed = rows.groupBy("gram").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
-        return materialise(rows.join(mixed.select("gram"), "gram", "left_semi"), "jaccard-classed")
+        by_gram = Window.partitionBy("gram")
+        rows = rows.withColumns({"least": F.min("c").over(by_gram), "most": F.max("c").over(by_gram)}).where("least < most")
+        return materialise(rows.drop("least", "most"), "jaccard-classed")
 
     def alive(self, heads: DataFrame) -> DataFrame:
         """The rows of ``heads`` at whose n-gram a near pair can first meet: those of two sets that allow
         it, or of several where the smallest is not too large for the set."""
-        low, high = F.min(F.struct("n", "pos", "id")).alias("low"), F.max(F.struct("n", "pos", "id")).alias("high")
-        grams = heads.groupBy("gram").agg(F.count("*").alias("size"), low, high)
-        grams = grams.select("gram", "size", *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in ("low", "high") for c in ("n", "pos")])
-        grams = grams.where((F.col("size") > 2) | ((F.col("size") == 2) & self.possible("_low", "_high")))
-        rows = heads.join(grams.select("gram", F.col("n_low").alias("least")), "gram")
-        fits = (F.col("n") - F.col("pos")) * (100 + self.percent) >= (F.col("n") + F.col("least")) * self.percent
-        return materialise(rows.where(fits).drop("least"), "jaccard-alive")
+        by_gram, one = Window.partitionBy("gram"), F.struct("n", "pos", "id")
+        rows = heads.withColumns({"size": F.count("*").over(by_gram), "low": F.min(one).over(by_gram), "high": F.max(one).over(by_gram)})
+        rows = rows.select(*heads.columns, "size", *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in ("low", "high") for c in ("n", "pos")])
+        rows = rows.where((F.col("size") > 2) | ((F.col("size") == 2) & self.possible("_low", "_high")))
+        fits = (F.col("n") - F.col("pos")) * (100 + self.percent) >= (F.col("n") + F.col("n_low")) * self.percent
+        return materialise(rows.where(fits).select(*heads.columns), "jaccard-alive")
 
     def components(self) -> DataFrame:
         """(node, root): the sets that have links, with the smallest name that they reach."""
         heads = self.alive(self.heads())
         links = heads.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-        roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        rows = self.classed(heads, roots)
+        rows, before = heads.withColumn("c", F.col("id")), []  # every set is a class of its own
         for _ in range(STARS):
             pairs = materialise(self.stars(rows), "jaccard-stars")
             found = self.verified(pairs)
             links = links.unionByName(found)
             roots = materialise(connected_components(links), "jaccard-roots")
-            before, rows = rows, self.classed(heads, roots)
-            discard(before)
+            rows = self.classed(heads, roots)
+            discard(*before)
+            before = [rows]
             if 2 * found.count() <= pairs.count():
                 break
         links = links.unionByName(self.verified(self.crossing(rows)))

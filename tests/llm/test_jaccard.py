@@ -115,6 +115,56 @@ def test_a_crowd_needs_few_comparisons(spark):
     assert op.crossing(op.classed(heads, op.components())).isEmpty()
 
 
+def plan_of(df, mode="formatted"):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+
+
+def test_heads_are_met_by_set_and_dealt_by_gram_once(spark, monkeypatch):
+    """The join that picks the sets of some pairs gives a row for each set, however many n-grams its
+    head shares, and the passes by n-gram deal the heads once each."""
+    base = [f"b{i}" for i in range(200)]
+    texts = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(30)]
+    op = jaccard.Join(spark.createDataFrame(texts, DOCS))
+    heads = op.heads()
+    assert heads.columns == ["gram", "id", "n", "pos"]
+    assert op.lists.count() == 30 < heads.count() == heads.distinct().count()
+    assert heads.groupBy("gram").agg(F.countDistinct("id").alias("k")).where("k < 2").isEmpty()
+    none = spark.createDataFrame([], "node long, root long")
+    classed = op.classed(heads, none)
+    pairs = jaccard.materialise(op.stars(classed), "pairs")
+    assert op.promising(pairs).count() == pairs.count() > 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lines = plan_of(op.crossing(classed), "simple").splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("hashpartitioning(gram" in x and "Exchange" in x for x in lines) <= 2  # the same for both sides
+    monkeypatch.setattr(jaccard, "materialise", lambda df, name: df)
+    for plan in (plan_of(op.alive(heads), "simple"), plan_of(op.stars(classed), "simple")):
+        assert plan.count("Exchange hashpartitioning(gram") == 1 and "Join" not in plan
+
+
+def test_the_pairs_of_several_classes_meet(spark):
+    """Crossing against all pairs of sets of different classes, with classes of several sizes."""
+    docs = crowd(9)
+    op = jaccard.Join(spark.createDataFrame(docs, DOCS))
+    heads = [tuple(r) for r in op.heads().collect()]
+    ids = sorted({r[1] for r in heads})
+    roots = {x: ids[i - i % 3] for i, x in enumerate(ids) if i % 2}
+    got = op.crossing(op.classed(op.heads(), spark.createDataFrame(list(roots.items()), "node long, root long")))
+    got = {tuple(sorted((r.a, r.b))) for r in got.collect()}
+    by_gram, want = {}, set()
+    for gram, x, n, pos in heads:
+        by_gram.setdefault(gram, []).append((x, n, pos))
+    for rows_ in by_gram.values():
+        for x, n, i in rows_:
+            for y, m, j in rows_:
+                least = -(-(n + m) * 80 // 180)
+                if x < y and roots.get(x, x) != roots.get(y, y) and 100 * min(n, m) >= 80 * max(n, m) and min(n - i, m - j) >= least:
+                    want.add((x, y))
+    assert got == want and len(want) > 50
+
+
 def test_fragments_partition_a_set_in_one_order():
     rng = np.random.default_rng(1)
     grams = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
