@@ -2,11 +2,12 @@
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 from fixtures import write_inbox
 from ledgerloom.plans import daily_run
-from ledgerloom.sources import csv_inbox
-from ledgerloom.streaming.sales_stream import latest_versions, start_fact_stream
+from ledgerloom.sources import csv_inbox, tables
+from ledgerloom.streaming.sales_stream import VALID_SCHEMA, adaptive_as, latest_versions, start_fact_stream
 
 SNAP = dt.date(2024, 12, 1)
 DELIVERIES = [
@@ -78,3 +79,36 @@ def test_the_state_keeps_one_version_a_key_and_span(spark):
     df = spark.createDataFrame([(*r[:4], Decimal(r[4]), *r[5:]) for r in rows], VALID_SCHEMA)
     got = sorted((r.load_ts, r.src_line) for r in latest_versions(df, "1 day", "1 day").collect())
     assert got == [(dt.datetime(2024, 3, 1, 1), 1), (dt.datetime(2024, 3, 2), 0)]
+
+
+def test_the_upsert_of_a_micro_batch_runs_adaptively(spark, workdir, monkeypatch):
+    """Each month is written as one file, not by every task; the stream's own setting comes back."""
+    lines = [f"s{i % 7},t{i},RCPT{i:03d},2024-{1 + i % 6:02d}-{1 + i % 20:02d}T10:00:00,$1.00,R\n" for i in range(300)]
+    monkeypatch.setitem(globals(), "DELIVERIES", ["".join(lines[:200]), "".join(lines[100:])])
+    root, seen = os.path.join(workdir, "wh"), []
+    p, upsert = daily_run._paths(root), daily_run.upsert_fact
+
+    def told(session, *args):
+        seen.append(session.conf.get("spark.sql.adaptive.enabled"))
+        return upsert(session, *args)
+
+    monkeypatch.setattr(daily_run, "upsert_fact", told)
+    for i in (0, 1):
+        _silver(spark, p, workdir, i)
+        start_fact_stream(spark, root, os.path.join(workdir, "ck"), fact_by="month").awaitTermination()
+    assert set(seen) == {spark.conf.get("spark.sql.adaptive.enabled")} == {"true"}
+    for table in ("fact_sales", "day_totals"):
+        files = [tables.list_files(spark, f"{p[table]}/transaction_month=2024-{m:02d}-01") for m in range(1, 7)]
+        assert [len(f) for f in files] == [1] * 6
+    assert daily_run.read_table(spark, root, "fact_sales").count() == 300
+    with adaptive_as(spark, "false"):
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_versions_alike_but_for_the_batch_date_are_one(spark):
+    """Rows with the same stamps and places: the later batch date, whatever the order in which they come."""
+    rows = [("s", "t", "RCPT001", dt.datetime(2024, 3, 1), Decimal(1), None, "f", dt.datetime(2024, 3, 1), 0, 1, "run", dt.date(2024, 3, d)) for d in (2, 1)]
+    for some in (rows, rows[::-1]):
+        got = latest_versions(spark.createDataFrame(some, VALID_SCHEMA).coalesce(1), "1 day", "1 day").collect()
+        assert [(r.batch_date, r.receipt_token, r.user_role) for r in got] == [(dt.date(2024, 3, 2), "RCPT001", None)]
