@@ -22,7 +22,9 @@ A document's set is its distinct shingles, as 64-bit hashes; equal sets are one
 6. Connected components over the links.
 
 The passes over the texts recompute the sets, which costs less than to store them; that of the
-comparisons looks at the texts of the sets to compare only.
+comparisons looks at the texts of the sets to compare only, and cuts a set as its pairs need it. The
+fragments are dealt once, by set and fragment: the pairs, which are short, go to those of one of
+their sets, and only what they fetch there goes on to those of the other.
 """
 
 from __future__ import annotations
@@ -310,9 +312,10 @@ def _head_lists(docs: DataFrame, order: Order, size: int, percent: int, shared:
     return rows.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "grams", "places")])
 
 
-def _fragments(docs: DataFrame, order: Order, size: int, percent: int, wanted: np.ndarray) -> DataFrame:
+def _fragments(docs: DataFrame, order: Order, size: int, percent: int, wanted: np.ndarray, ways: np.ndarray) -> DataFrame:
     """(id, cuts, fragment, grams): the pieces of the sets whose text's hash the bitmap ``wanted``
-    holds, once each; with the cuts of every partner's size, of which there are two or three."""
+    holds, once each; by the cuts of its own and of a larger partner's size, as far as the bitmap
+    ``ways`` holds the name XOR the cuts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def kept() -> Iterator[pa.RecordBatch]:
@@ -323,7 +326,8 @@ def _fragments(docs: DataFrame, order: Order, size: int, percent: int, wanted: n
 
         for name, grams in _sets_of(kept(), size):
             n = len(grams)
-            for cuts in sorted({cuts_of(n), *(cuts_of(m) for m in (n, -(-n * 100 // percent)))}):
+            some_cuts = np.array(sorted({cuts_of(n), cuts_of(-(-n * 100 // percent))}))
+            for cuts in some_cuts[_has(ways, (np.int64(name) ^ some_cuts).view(np.uint64))].tolist():
                 cut = list(order.fragments(grams, cuts))
                 for at in range(0, len(cut), 64):
                     some = cut[at : at + 64]
@@ -391,22 +395,32 @@ class Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """(a, b) of the distinct pairs ``(a, b, na, nb)`` at the threshold: partial overlaps summed."""
         before = materialise(pairs, "jaccard-met")
-        pairs = materialise(self.promising(before), "jaccard-pairs")
-        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        texts = self.members.join(ids, "id").groupBy("id").agg(F.min("text_hash").alias("text_hash"))
-        wanted = _bitmap(texts.select("text_hash"), BITS)
-        pieces = materialise(_fragments(self.docs, self.order, self.size, self.percent, wanted), "jaccard-pieces")
-        one = pieces.select(F.col("id").alias("a"), "cuts", "fragment", F.col("grams").alias("x"))
-        two = pieces.select(F.col("id").alias("b"), "cuts", "fragment", F.col("grams").alias("y"))
         # a pair is cut as its larger set is
-        met = pairs.withColumn("cuts", _cuts_of(F.greatest("na", "nb"))).join(one, ["a", "cuts"]).join(two, ["b", "cuts", "fragment"])
-        sums = _partial_overlaps(met).groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
+        pairs = materialise(self.promising(before).withColumn("cuts", _cuts_of(F.greatest("na", "nb"))), "jaccard-pairs")
+        sides = pairs.select(F.col("a").alias("id"), "cuts").unionByName(pairs.select(F.col("b").alias("id"), "cuts")).distinct()
+        texts = self.members.join(sides.select("id").distinct(), "id").groupBy("id").agg(F.min("text_hash").alias("text_hash"))
+        wanted = _bitmap(texts.select("text_hash"), BITS)
+        ways = _bitmap(sides.select(F.col("id").bitwiseXOR(F.col("cuts").cast("long"))), BITS)
+        pieces = _fragments(self.docs, self.order, self.size, self.percent, wanted, ways)
+        sums = _partial_overlaps(self.met_pieces(pairs, pieces)).groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
         union = F.col("na") + F.col("nb") - F.col("overlap")
         near = pairs.join(sums, ["a", "b"]).where(F.col("overlap") * 100 >= union * self.percent)
         out = materialise(near.select("a", "b"), "jaccard-links")
-        discard(pieces, pairs, before)
+        discard(pairs, before)
         return out
 
+    @staticmethod
+    def met_pieces(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
+        """(a, b, x, y): the pieces of both sets of ``pairs(a, b, cuts)``, fragment by fragment. Both joins
+        read one exchange of the pieces. Of a star's pairs, which share ``b``, the piece of ``b`` goes
+        out to the places of the others. Pairs are many times larger by fragment than their table,
+        from which Spark would choose to broadcast them, so the join is told not to."""
+        wide = pairs.select("a", "b", "cuts", F.explode(F.sequence(F.lit(0), 2 * F.col("cuts") - 1)).alias("fragment"))
+        two = pieces.select(F.col("id").alias("b"), "cuts", "fragment", F.col("grams").alias("y"))
+        one = pieces.select(F.col("id").alias("a"), "cuts", "fragment", F.col("grams").alias("x"))
+        met = wide.join(two.hint("merge"), ["b", "cuts", "fragment"]).join(one, ["a", "cuts", "fragment"])
+        return met.select("a", "b", "x", "y")
+
     def possible(self, one: str, two: str) -> Column:
         """Whether sets whose columns end in these names can reach the threshold, if an n-gram of these
         places is the first that they have in common: none before it is in the other set."""

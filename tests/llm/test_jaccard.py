@@ -144,6 +144,34 @@ def test_heads_are_met_by_set_and_dealt_by_gram_once(spark, monkeypatch):
         assert plan.count("Exchange hashpartitioning(gram") == 1 and "Join" not in plan
 
 
+def test_pieces_are_dealt_once_and_cut_as_the_pairs_need_them(spark, monkeypatch):
+    """A comparison reads one exchange of the pieces, of which no table is written, and a set is cut as
+    the larger set of its pairs is, not as any partner might be; the pairs are not broadcast."""
+    monkeypatch.setattr(jaccard, "PIECE", 64)
+    base = [f"b{i}" for i in range(250)]
+    texts = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(12)]
+    texts += [(i + 20, " ".join([f"{i}", *base, *[f"y{i}" for i in range(11 + i)]])) for i in range(2)]
+    op = jaccard.Join(spark.createDataFrame(texts, DOCS))
+    rows_ = jaccard.materialise(op.classed(op.heads(), spark.createDataFrame([], "node long, root long")), "classed")
+    pairs = jaccard.materialise(op.stars(rows_), "pairs")
+    needed = {(x, jaccard.cuts_of(max(r.na, r.nb))) for r in pairs.collect() for x in (r.a, r.b)}
+    seen = {}
+    keep, cut, overlaps = jaccard.materialise, jaccard._fragments, jaccard._partial_overlaps
+    monkeypatch.setattr(jaccard, "materialise", lambda df, name: keep(seen.setdefault(name, df), name))
+    monkeypatch.setattr(jaccard, "_fragments", lambda *args: seen.setdefault("cut", cut(*args)))
+    monkeypatch.setattr(jaccard, "_partial_overlaps", lambda rows: overlaps(seen.setdefault("met", rows)))
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        found_ = op.verified(pairs).count()
+        plan = plan_of(seen["met"], "simple")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert found_ == pairs.count() == len(texts) - 1
+    assert {(r.id, r.cuts) for r in seen["cut"].select("id", "cuts").distinct().collect()} == needed
+    assert plan.count("MapInArrow") == 1 and plan.count("ReusedExchange") == 1 and "Broadcast" not in plan
+    assert "jaccard-pieces" not in seen
+
+
 def test_the_pairs_of_several_classes_meet(spark):
     """Crossing against all pairs of sets of different classes, with classes of several sizes."""
     docs = crowd(9)
