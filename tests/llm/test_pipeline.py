@@ -50,5 +50,5 @@ def test_stages_against_brute_force(spark):
 def test_every_operator_is_registered():
     from ledgerloom.llm import queries
 
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
