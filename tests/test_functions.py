@@ -94,3 +94,27 @@ def test_half_up_average(spark):
     got = [r.r for r in df.select(half_up_avg("s", "n").alias("r")).collect()]
     assert got == [Decimal("0.03"), Decimal("-0.03"), Decimal("0.00"), Decimal("0.01"), Decimal("0.03"),
                    Decimal("-0.03")]
+
+
+def test_a_pattern_left_out_would_not_have_matched(spark):
+    """The guards before the timestamp patterns change no result: each spelling against all patterns in a row."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.functions import columns as c
+
+    texts = [
+        "2024", "20240301", "20240301\n", "1709287200", "20240301T100000.000", "20240301T100000.000\n", "20240301T100000", "T", "",
+        "2024-03-01", "2024-03-01T10:00:00", "2024-03-01 10:00", "2024-3-1T1:2:3", "03/01/2024 10:00:00", "03/01/2024 10:00:00\n", "03/01/2024",
+        "Tue, 01 Oct 2024 13:08:32 +0000", "Tue Oct 01 13:08:32 +0000 2024", "1 Oct 2024 13:08", "Oct\t1 2024 13:08", "10:00", "T2024", "2024T",
+        "2024-03-01T10:00:00Z", "2024/03/01 10:00:00", " 2024 ", "NOT_A_TIMESTAMP", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    iso = named = F.col("t")
+    for shape, to in c.TS_TO_ISO:
+        iso = F.regexp_replace(iso, shape, to)
+    for shape, to in c.NAMED_TS_REWRITES:
+        named = F.regexp_replace(named, shape, to)
+    want = (F.when(F.col("t").rlike(r"^[0-9]+$"), F.lit(None)).when(F.col("t").rlike(c.NAMED_TS_SHAPE), F.try_to_timestamp(named, F.lit(c.NAMED_TS_FORMAT)).cast("timestamp_ntz"))
+            .otherwise(iso.try_cast("timestamp_ntz")))
+    rows = df.select("t", c.parse_transaction_time("t").alias("got"), want.alias("want")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows] and sum(r.got is not None for r in rows) >= 8
