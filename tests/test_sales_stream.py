@@ -112,3 +112,22 @@ def test_versions_alike_but_for_the_batch_date_are_one(spark):
     for some in (rows, rows[::-1]):
         got = latest_versions(spark.createDataFrame(some, VALID_SCHEMA).coalesce(1), "1 day", "1 day").collect()
         assert [(r.batch_date, r.receipt_token, r.user_role) for r in got] == [(dt.date(2024, 3, 2), "RCPT001", None)]
+
+
+def test_the_state_lies_outside_the_heap(spark, workdir):
+    """RocksDB keeps the state, unless the session names a store; the session's settings stay as they were."""
+    from ledgerloom.streaming import sales_stream as s
+
+    def metrics(name):
+        root = os.path.join(workdir, name)
+        _silver(spark, daily_run._paths(root), root, 0)
+        query = start_fact_stream(spark, root, os.path.join(root, "ck"))
+        query.awaitTermination()
+        return {m for x in query.recentProgress for o in x["stateOperators"] for m in o["customMetrics"]}
+
+    assert any(m.startswith("rocksdb") for m in metrics("disk"))
+    assert [spark.conf.get(k, None) for k in (*s.STATE, s.GROUP_LIMIT)] == [None] * 3
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with s.settings(spark, {s.STATE_STORE: heap}):
+        told = metrics("heap")
+    assert told and not any(m.startswith("rocksdb") for m in told)
